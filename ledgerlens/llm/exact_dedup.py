@@ -48,6 +48,14 @@ def repeat_filter(hashes: DataFrame, sha: str, bits_per_row: int = 16, max_mb: i
     return written(bits, "repeat-filter"), blocks
 
 
+def membership_filter(ids: DataFrame, column: str, bits_per_row: int = 16, max_mb: int = 32) -> tuple[DataFrame, int]:
+    """A Bloom filter, of the same form and bound, of all values of a column."""
+    blocks = min(max_mb * 256, max(1, -(-ids.count() * bits_per_row // BLOCK_BITS)))
+    hits = ids.select(_block(column, blocks).alias("block"), F.explode(F.array(*_probes(column))).alias("bit")).distinct()
+    bits = hits.groupBy("block").agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bits"))
+    return written(bits, "id-filter"), blocks
+
+
 def split_by_filter(rows: DataFrame, sha: str, bits: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
     """(rows that may repeat, rows that are unique). The filter's size is bounded by repeat_filter, so it is broadcast."""
     block, field = free_name(rows, "filter_block"), free_name(rows, "filter_bits")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, sharding, warc
+from . import exact_dedup, minhash, mixing, packing, quality, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(_table(spark, sf_dir, "documents"), words=4)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op4_mixing": op4_mixing,
     "op5_warc": op5_warc,
+    "op6_minhash": op6_minhash,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
@@ -53,6 +58,20 @@ ORACLE_SQL: dict[str, str] = {
         g AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d) ELSE page_id END AS r FROM p)
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN r = page_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN r <> page_id THEN r END AS refers_to FROM g""",
+    "op6_minhash": r"""
+        WITH RECURSIVE
+        w AS (SELECT doc_id, string_split_regex(trim(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+') AS ws FROM documents),
+        n AS (SELECT doc_id, CASE WHEN ws = [''] THEN [] WHEN len(ws) < 4 THEN [len(ws)::VARCHAR || '|' || array_to_string(ws, ' ')]
+              ELSE list_distinct([array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)]) END AS s FROM w),
+        c AS (SELECT min(doc_id) AS rep, s FROM (SELECT doc_id, list_sort(s) AS s FROM n) WHERE len(s) > 0 GROUP BY s),
+        e AS (SELECT rep, unnest(s) AS g FROM c),
+        p AS (SELECT a.rep AS x, b.rep AS y, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.rep < b.rep GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p JOIN c cx ON cx.rep = x JOIN c cy ON cy.rep = y WHERE 100 * k >= 80 * (len(cx.s) + len(cy.s) - k)),
+        b AS (SELECT x AS u, y AS v FROM l UNION ALL SELECT y, x FROM l),
+        r(u, v) AS (SELECT rep, rep FROM c UNION SELECT r.u, b.v FROM r JOIN b ON r.v = b.u),
+        m AS (SELECT u, min(v) AS component_id FROM r GROUP BY u)
+        SELECT n.doc_id, CAST(len(n.s) AS BIGINT) AS n_shingles, coalesce(m.component_id, n.doc_id) AS component_id, n.doc_id = coalesce(m.component_id, n.doc_id) AS kept
+        FROM n LEFT JOIN c ON c.s = list_sort(n.s) LEFT JOIN m ON m.u = c.rep""",
     "op10_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
