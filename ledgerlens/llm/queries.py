@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, minhash, mixing, packing, quality, sharding, warc
+from . import edit_embedding, exact_dedup, minhash, mixing, packing, quality, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_copies(_table(spark, sf_dir, "documents"), words=4)
 
 
+def op7_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.follow(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_warc": op5_warc,
     "op6_minhash": op6_minhash,
+    "op7_edit_embedding": op7_edit_embedding,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,

@@ -13,7 +13,16 @@ import pandas as pd
 
 _BASE = 0x9E3779B97F4A7C17
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_tables: dict = {}
+
+
+class Cache(dict):
+    """A dictionary that travels empty: what it holds is made anew in each process."""
+
+    def __reduce__(self):
+        return Cache, ()
+
+
+_tables = Cache()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
