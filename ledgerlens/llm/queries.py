@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import edit_embedding, exact_dedup, minhash, mixing, packing, quality, sharding, warc
+from . import edit_embedding, exact_dedup, minhash, mixing, packing, quality, sharding, suffix_trees, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.dedup_words(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -48,6 +52,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_suffix_trees": op3_suffix_trees,
     "op4_mixing": op4_mixing,
     "op5_warc": op5_warc,
     "op6_minhash": op6_minhash,
@@ -58,6 +63,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_suffix_trees": r"""
+        WITH w AS (SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+        s AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i, ws FROM w WHERE len(ws) >= 20),
+        k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(ws[i:i + 19], ' ') ORDER BY doc_id, i) AS r FROM s),
+        g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM k WHERE r > 1),
+        l AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM g GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(l.n, 0) AS n_removed,
+               sha256(array_to_string([ws[p] FOR p IN range(1, len(ws) + 1) IF NOT list_contains(coalesce(ps, []), p)], ' ')) AS kept_sha256
+        FROM w LEFT JOIN l USING (doc_id)""",
     "op5_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
         g AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d) ELSE page_id END AS r FROM p)
