@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import edit_embedding, exact_dedup, minhash, mixing, packing, quality, sharding, suffix_trees, warc
+from . import bwt, edit_embedding, exact_dedup, minhash, mixing, packing, quality, sharding, suffix_trees, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt.dedup_bytes(_table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_trees.dedup_words(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_bwt": op2_bwt,
     "op3_suffix_trees": op3_suffix_trees,
     "op4_mixing": op4_mixing,
     "op5_warc": op5_warc,
