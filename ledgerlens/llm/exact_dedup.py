@@ -69,6 +69,15 @@ def split_by_filter(rows: DataFrame, sha: str, bits: DataFrame, blocks: int) ->
     return tested.filter(maybe).select(*rows.columns), tested.filter(~maybe).select(*rows.columns)
 
 
+def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """docs without the rows whose id is in ids (one column, no nulls). Rows that a bounded filter of the ids clears are not shuffled."""
+    mark = free_name(docs, "dropped_id")
+    gone = written(ids.toDF(mark).filter(F.col(mark).isNotNull()).distinct(), "dropped-ids")
+    bits, blocks = membership_filter(gone, mark)
+    maybe, rest = split_by_filter(docs, id_col, bits, blocks)
+    return rest.unionByName(maybe.join(gone, F.col(id_col) == F.col(mark), "left_anti"))
+
+
 def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256."""
     narrow = written(docs.select(F.col(id_col).alias("doc_id"), text_sha256(F.col(text_col)).alias("text_sha256")), "hashes")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, written
+from .common import WORD, free_name, written
 
 BINS = 16384
 
@@ -94,3 +94,12 @@ def word_sizes(docs: DataFrame) -> DataFrame:
 
 def mix_documents(docs: DataFrame, weights: list[int] | None = None, max_epochs: int = 3, seed: int = 42) -> DataFrame:
     return mix(written(word_sizes(docs), "word-sizes"), weights, max_epochs, seed)
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """docs as the mix has them: a row as often as it is taken, all columns kept. Rows of one id are taken equally often."""
+    mark, times = free_name(docs, "mixed_id"), free_name(docs, "times")
+    taken = mix_documents(docs, **options).filter("taken > 0 and doc_id is not null")
+    counts = taken.groupBy(F.col("doc_id").alias(mark)).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias(times))
+    joined = docs.join(counts, F.col("doc_id") == F.col(mark))
+    return joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

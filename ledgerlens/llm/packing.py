@@ -9,7 +9,7 @@ Ids are those of the `tokenizers` library for the given file, computed by tiktok
 (tests hold the two against each other); the marks of special tokens in a text become their ids as there.
 
 Defined cases: null or empty text is one piece with the end mark alone; empty table, empty result; repeated rows are packed each on its own;
-very long texts are cut like others; other columns are ignored (pack_documents) or kept with each piece's document (attach).
+very long texts are cut like others; other columns are ignored.
 """
 
 from __future__ import annotations

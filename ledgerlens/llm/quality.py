@@ -26,7 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, free_name, written
+from .common import as_text, written
+from .exact_dedup import drop_ids
 
 GRAMS, SHAPES, LEVELS = 1 << 18, 1 << 16, (0, 3, 7)
 JUNK, TOXIC = 0, 1
@@ -224,6 +225,4 @@ def _top(rows: DataFrame, column: str, k: int, bins: int = 4096):
 
 def select_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """docs without the rows that the classifier rejects, all columns kept."""
-    marked = classify(docs, labels, **options).filter("not kept").select("doc_id").distinct()
-    mark = free_name(docs, "rejected_id")
-    return docs.join(marked.withColumnRenamed("doc_id", mark), F.col("doc_id") == F.col(mark), "left_anti")
+    return drop_ids(docs, classify(docs, labels, **options).filter("not kept").select("doc_id"))
