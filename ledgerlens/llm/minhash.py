@@ -3,8 +3,8 @@
 Texts of one shingle set are one class first, so exact copies cost one row. Each class has `hashes` minima; `hashes / rows` bands of `rows` minima
 each bring together classes that share a band. With 32 bands of 4, a pair of similarity 0.8 shares none with a chance of 5e-8. Within a bucket every
 class is compared with the bucket's least id, not with every other; then components are built, and buckets whose members fell into
-several components are searched for links between different components, in blocks. So every pair that shares a bucket is either
-connected already or compared: no link that would join two components is lost, and no bucket is written out as all its pairs.
+several components are searched for links between different components, in blocks, inside the task that has the block's texts. So every pair that
+shares a bucket is either connected already or compared: no link that would join two components is lost, and no pairs are written out but links.
 A pair is compared by its signatures first and confirmed on the two full shingle sets.
 
 Defined cases: null and empty texts and those without words have no shingles and no links; texts of fewer than `words` words have one
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exact_dedup
-from .common import as_text, free_name, lookup, written
+from .common import as_text, lookup, written
 from .components import components
 from .textops import Words, groups_of, in_chunks, mix
 
@@ -87,22 +87,25 @@ def sketch(docs: DataFrame, words: int, hashes: int, seed: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), as_text(docs, "text").alias("text")).mapInPandas(run, SETS)
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of at least the ids, one row each. Others are kept from the shuffle by a bounded filter."""
+    bits, blocks = exact_dedup.membership_filter(ids, "doc_id")
+    likely, _ = exact_dedup.split_by_filter(docs.select(F.col("doc_id").cast("long"), as_text(docs, "text").alias("text")), "doc_id", bits, blocks)
+    # repeated rows of one id: one of them
+    return likely.filter("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, share: int = 200) -> DataFrame:
     """The pairs (head, other) whose full sets have 100 * intersection >= percent * union.
 
-    Texts of the ids in question go to the pairs (others are kept from the shuffle by a bounded filter). A head with many pairs is dealt over several groups,
+    Texts of the ids in question go to the pairs. A head with many pairs is dealt over several groups,
     `share` pairs each, and comes to each of them once.
     """
     parts = pairs.groupBy("head").agg(F.count("*").alias("n")).select("head", (F.floor(F.col("n") / share) + 1).alias("parts"), "n")
     dealt = lookup(pairs, written(parts, "heads"), "head", "n").select("head", "other", F.pmod(F.xxhash64("other"), F.col("parts")).alias("part"))
     dealt = written(dealt, "dealt-pairs")
     units = dealt.select("head", "part", F.col("other").alias("doc_id")).unionByName(dealt.select("head", "part", F.col("head").alias("doc_id")).distinct())
-    ids = units.select("doc_id").distinct()
-    bits, blocks = exact_dedup.membership_filter(ids, "doc_id")
-    likely, _ = exact_dedup.split_by_filter(docs.select(F.col("doc_id").cast("long"), as_text(docs, "text").alias("text")), "doc_id", bits, blocks)
-    # repeated rows of one id: one of them
-    texts = likely.filter("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
-    placed = units.join(texts, "doc_id").select("head", "part", (F.col("doc_id") != F.col("head")).alias("later"), "doc_id", "text")
+    placed = units.join(_texts(docs, units.select("doc_id").distinct()), "doc_id").select("head", "part", (F.col("doc_id") != F.col("head")).alias("later"), "doc_id", "text")
     placed = placed.repartition("head", "part").sortWithinPartitions("head", "part", "later")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,29 +144,77 @@ def _by_signature(pairs: DataFrame, classes: DataFrame, least: float) -> DataFra
     return both.select("head", "other", "a", "b").mapInPandas(run, "head long, other long")
 
 
-def _across(members: DataFrame, classes: DataFrame, least: float, block: int = 1000) -> DataFrame:
-    """Pairs of different components within a bucket whose signatures are alike: members are band, rep, component, n.
-
-    A bucket of many members is cut into blocks; each pair of blocks is a group.
-    """
+def _wanted(members: DataFrame, classes: DataFrame, least: float, rows: int, block: int = 1000) -> DataFrame:
+    """band, i, j, rep, component, own: the members of buckets that have a partner in another component with a signature alike, where this bucket is the
+    first that both share. members: index, band, rep, component, n. A bucket of many members is cut into blocks; each pair of blocks is a group."""
     blocks = (F.floor(F.col("n") / block) + 1).cast("long")
     own = members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks)).withColumn("second", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    own = own.select("band", "rep", "component", F.least("own", "second").alias("i"), F.greatest("own", "second").alias("j"), "own")
-    rows = own.join(classes.select("rep", "signature"), "rep").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "rep")
+    own = own.select("index", "band", "rep", "component", F.least("own", "second").alias("i"), F.greatest("own", "second").alias("j"), "own")
+    placed = own.join(classes.select("rep", "signature"), "rep").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "rep")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in groups_of(batches, ["band", "i", "j"], 4096):
             for (_, i, j), part in frame.groupby(["band", "i", "j"], sort=False):
                 sig = np.frombuffer(b"".join(part["signature"]), np.uint32).reshape(len(part), -1)
-                rep, comp, side = part["rep"].to_numpy(), part["component"].to_numpy(), part["own"].to_numpy()
-                for x in range(len(part)):
-                    other = (comp != comp[x]) & (rep > rep[x]) & ((side != side[x]) if i != j else True)
-                    at = np.flatnonzero(other)
-                    at = at[_alike(sig[at], sig[x], least)] if len(at) else at
+                comp, side, index = part["component"].to_numpy(), part["own"].to_numpy(), int(part["index"].iloc[0])
+                needed = np.zeros(len(part), bool)
+                for x in range(len(part) - 1):
+                    at = x + 1 + np.flatnonzero((comp[x + 1 :] != comp[x]) & ((side[x + 1 :] != side[x]) if i != j else True))
+                    if not len(at):
+                        continue
+                    same = sig[at] == sig[x]
+                    close = same.mean(axis=1) >= least
+                    at, same = at[close], same[close]
                     if len(at):
-                        yield pd.DataFrame({"head": rep[x], "other": rep[at]})
+                        here = same.reshape(len(at), -1, rows).all(axis=2).argmax(axis=1) == index
+                        needed[at[here]] = True
+                        needed[x] |= here.any()
+                yield part.loc[needed, ["band", "i", "j", "rep", "component", "own"]]
+
+    return placed.mapInPandas(run, "band long, i long, j long, rep long, component long, own long")
+
 
-    return rows.mapInPandas(run, "head long, other long").distinct()
+def _across(wanted: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """v, u: components that a link joins, confirmed on full sets, within the groups of _wanted."""
+    units = written(wanted.withColumnRenamed("rep", "doc_id"), "wanted")
+    placed = units.join(_texts(docs, units.select("doc_id").distinct()), "doc_id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "doc_id")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in groups_of(batches, ["band", "i", "j"], 1024):
+            for (_, i, j), part in frame.groupby(["band", "i", "j"], sort=False):
+                found = linked_across([t.encode() for t in part["text"]], part["component"].to_numpy(), part["own"].to_numpy() if i != j else None, words, percent)
+                names = part["component"].to_numpy()
+                if found:
+                    yield pd.DataFrame({"v": [names[a] for a, _ in found], "u": [names[b] for _, b in found]})
+
+    return placed.select("band", "i", "j", "doc_id", "component", "own", "text").mapInPandas(run, "v long, u long")
+
+
+def linked_across(texts: list[bytes], component: np.ndarray, side: np.ndarray | None, words: int, percent: int) -> list[tuple[int, int]]:
+    """Links that join components: shared shingles are counted through an inverted index, against all texts that are not yet connected."""
+    sets, first = shingle_sets(texts, words)
+    sizes = np.diff(first)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    by = np.argsort(sets, kind="stable")
+    posted, postings = sets[by], owner[by]
+    low, high = np.searchsorted(posted, sets, "left"), np.searchsorted(posted, sets, "right")
+    root = component.copy()
+    out = []
+    for x in range(len(texts)):
+        open_ = root != root[x]
+        if side is not None:
+            open_ &= side != side[x]
+        if not open_.any():
+            continue
+        a, b = low[first[x] : first[x + 1]], high[first[x] : first[x + 1]]
+        n = b - a
+        at = np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+        both = np.bincount(postings[at], minlength=len(texts))
+        for y in np.flatnonzero(open_ & (100 * both >= percent * (sizes + sizes[x] - both)) & (both > 0)):
+            if root[y] != root[x]:
+                out.append((x, int(y)))
+                root[root == root[y]] = root[x]
+    return out
 
 
 def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int = 128, rows: int = 4, slack: float = 0.2, seed: int = 42) -> DataFrame:
@@ -175,22 +226,25 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int
     classes = written(grouped.select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.signature").alias("signature"), "copies"), "classes")
     size = 4 * rows
     bands = F.array(*[F.xxhash64(F.substring("signature", i * size + 1, size), F.lit(i)) for i in range(hashes // rows)])
-    banded = classes.select("rep", F.explode(bands).alias("band"))
+    banded = classes.select("rep", F.posexplode(bands).alias("index", "band"))
     buckets = written(banded.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1"), "buckets")
     members = written(lookup(banded, buckets, "band", "n").filter("head is not null"), "members")
-    first = _by_signature(members.filter("rep <> head").select("head", F.col("rep").alias("other")).distinct(), classes, least)
+    first = written(_by_signature(members.filter("rep <> head").select("head", F.col("rep").alias("other")).distinct(), classes, least), "pairs")
     links = written(confirm(first, docs, words, percent), "links").select(F.col("head").alias("v"), F.col("other").alias("u"))
     found = written(components(links), "components")
     # buckets that hold several components may hide a link between them
-    named = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "head", "n", F.coalesce("component", "rep").alias("component"))
+    named = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("index", "band", "rep", "n", F.coalesce("component", "rep").alias("component"))
     split = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
-    second = _across(written(named.join(split, "band", "left_semi"), "split-buckets"), classes, least)
-    second = written(second.join(first.distinct(), ["head", "other"], "left_anti"), "second-pairs")
-    if second.limit(1).count():
-        more = written(confirm(second, docs, words, percent), "more-links").select(F.col("head").alias("v"), F.col("other").alias("u"))
-        found = written(components(links.unionByName(more)), "components")
+    wanted = _wanted(written(named.join(split, "band", "left_semi"), "split-buckets"), classes, least, rows)
+    more = written(_across(wanted, docs, words, percent), "more-links")
     named = classes.select("set_key", "rep", "copies").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    named = written(named.select("set_key", F.coalesce("component", "rep").alias("component_id"), "copies"), "class-components")
+    named = named.select("set_key", F.coalesce("component", "rep").alias("component_id"), "copies")
+    if more.limit(1).count():
+        # components are joined as nodes of a graph of their own; a hot component is renamed by broadcast
+        joined = written(components(more), "joined-components").join(named.groupBy("component_id").agg(F.count("*").alias("size")).withColumnRenamed("component_id", "node"), "node")
+        renamed = lookup(named, joined.select(F.col("node").alias("component_id"), "component", "size"), "component_id", "size")
+        named = renamed.select("set_key", F.coalesce("component", "component_id").alias("component_id"), "copies")
+    named = written(named, "class-components")
     placed = lookup(linked.drop("signature"), named, "set_key", "copies").select("doc_id", "n_shingles", "component_id")
     alone = sets.filter("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return placed.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -198,6 +252,4 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """docs without the rows that another of their component stands for, all columns kept."""
-    gone = near_copies(docs, **options).filter("not kept").select("doc_id").distinct()
-    mark = free_name(docs, "gone_id")
-    return docs.join(gone.withColumnRenamed("doc_id", mark), F.col("doc_id") == F.col(mark), "left_anti")
+    return exact_dedup.drop_ids(docs, near_copies(docs, **options).filter("not kept").select("doc_id"))
