@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import n_unique, ratio
 from ..functions.windows import TIME, micros
 
-FRAUD = F.sum("Is Laundering").alias("fraud")
-ROWS = F.count("*").alias("rows")
-PAID, RECEIVED, Y = F.col("`Amount Paid`"), F.col("`Amount Received`"), F.col("`Is Laundering`")
+
+
+def _rows() -> Column:
+    return F.count("*").alias("rows")
+
+
+def _fraud() -> Column:
+    return F.sum("Is Laundering").alias("fraud")
+
+
+def _paid() -> Column:
+    return F.col("`Amount Paid`")
+
+
+def _received() -> Column:
+    return F.col("`Amount Received`")
+
+
+def _y() -> Column:
+    return F.col("`Is Laundering`")
 
 
 def _top(df: DataFrame, by: str, n: int | None, *keys: str) -> DataFrame:
@@ -18,15 +35,15 @@ def _top(df: DataFrame, by: str, n: int | None, *keys: str) -> DataFrame:
 
 
 def monthly_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy(F.year(TIME).alias("year"), F.month(TIME).alias("month")).agg(ROWS, FRAUD)
+    return df.groupBy(F.year(TIME).alias("year"), F.month(TIME).alias("month")).agg(_rows(), _fraud())
 
 
 def day_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy(F.dayofmonth(TIME).alias("day")).agg(ROWS, FRAUD)
+    return df.groupBy(F.dayofmonth(TIME).alias("day")).agg(_rows(), _fraud())
 
 
 def class_distribution(df: DataFrame) -> DataFrame:
-    return df.groupBy("Is Laundering").agg(ROWS)
+    return df.groupBy("Is Laundering").agg(_rows())
 
 
 def time_range(df: DataFrame) -> DataFrame:
@@ -38,7 +55,7 @@ def unique_parties(df: DataFrame) -> DataFrame:
 
 
 def hour_profile(df: DataFrame) -> DataFrame:
-    return df.groupBy(F.hour(TIME).alias("hour")).agg(ROWS, FRAUD).withColumn("fraud_rate_percent", F.col("fraud") / F.col("rows") * 100)
+    return df.groupBy(F.hour(TIME).alias("hour")).agg(_rows(), _fraud()).withColumn("fraud_rate_percent", F.col("fraud") / F.col("rows") * 100)
 
 
 def riskiest_hour(df: DataFrame) -> DataFrame:
@@ -54,17 +71,17 @@ def amount_stats(df: DataFrame, column: str = "Amount Paid") -> DataFrame:
 
 
 def fan_in(df: DataFrame, parties: int = 20, amount: float = 10_000, n: int | None = 20) -> DataFrame:
-    g = df.groupBy("Account_duplicated_0").agg(F.countDistinct("Account").alias("senders"), F.sum(RECEIVED).alias("received"), F.max(Y).alias("is_laundering"))
+    g = df.groupBy("Account_duplicated_0").agg(F.countDistinct("Account").alias("senders"), F.sum(_received()).alias("received"), F.max(_y()).alias("is_laundering"))
     return _top(g.filter((F.col("senders") > parties) & (F.col("received") > amount)), "senders", n, "Account_duplicated_0")
 
 
 def fan_out(df: DataFrame, parties: int = 50, amount: float = 10_000, n: int | None = 20) -> DataFrame:
-    g = df.groupBy("Account").agg(F.countDistinct("Account_duplicated_0").alias("receivers"), F.sum(PAID).alias("paid"), F.max(Y).alias("is_laundering"))
+    g = df.groupBy("Account").agg(F.countDistinct("Account_duplicated_0").alias("receivers"), F.sum(_paid()).alias("paid"), F.max(_y()).alias("is_laundering"))
     return _top(g.filter((F.col("receivers") > parties) & (F.col("paid") > amount)), "receivers", n, "Account")
 
 
 def risk_by(df: DataFrame, column: str, more_than: int) -> DataFrame:
-    return df.groupBy(column).agg(ROWS, FRAUD, F.avg(PAID).alias("mean_paid")).filter(F.col("rows") > more_than).withColumn("fraud_rate", F.col("fraud") / F.col("rows"))
+    return df.groupBy(column).agg(_rows(), _fraud(), F.avg(_paid()).alias("mean_paid")).filter(F.col("rows") > more_than).withColumn("fraud_rate", F.col("fraud") / F.col("rows"))
 
 
 def currency_risk(df: DataFrame, more_than: int = 100) -> DataFrame:
@@ -76,24 +93,24 @@ def format_risk(df: DataFrame, more_than: int = 50) -> DataFrame:
 
 
 def multi_format_accounts(df: DataFrame, least: int = 5, n: int | None = 20) -> DataFrame:
-    g = df.groupBy("Account").agg(F.countDistinct("Payment Format").alias("formats"), ROWS)
+    g = df.groupBy("Account").agg(F.countDistinct("Payment Format").alias("formats"), _rows())
     return _top(g.filter(F.col("formats") >= least), "rows", n, "Account")
 
 
 def bank_flow(df: DataFrame, by: str = "laundered_volume", n: int | None = 20) -> DataFrame:
     """Corridors by laundered volume or by fraud_rate."""
-    g = df.groupBy("From Bank", "To Bank").agg(ROWS, F.sum(PAID).alias("volume"), FRAUD, F.coalesce(F.sum(F.when(Y == 1, PAID)), F.lit(0.0)).alias("laundered_volume"))
+    g = df.groupBy("From Bank", "To Bank").agg(_rows(), F.sum(_paid()).alias("volume"), _fraud(), F.coalesce(F.sum(F.when(_y() == 1, _paid())), F.lit(0.0)).alias("laundered_volume"))
     g = g.withColumns({"fraud_rate": F.col("fraud") / F.col("rows"), "volume_rate": ratio(F.col("laundered_volume"), F.col("volume"))}).filter("volume > 0")
     return _top(g, by, n, "From Bank", "To Bank")
 
 
 def turbo_accounts(df: DataFrame, per_day: float = 50, n: int | None = 20) -> DataFrame:
-    g = df.groupBy("Account").agg(F.countDistinct(F.to_date(TIME)).alias("days"), ROWS).withColumn("per_day", F.col("rows") / F.col("days"))
+    g = df.groupBy("Account").agg(F.countDistinct(F.to_date(TIME)).alias("days"), _rows()).withColumn("per_day", F.col("rows") / F.col("days"))
     return _top(g.filter(F.col("per_day") > per_day), "per_day", n, "Account")
 
 
 def round_accounts(df: DataFrame, more_than: int = 50, share: float = 0.8) -> DataFrame:
-    g = df.groupBy("Account").agg(ROWS, F.avg((F.floor(PAID) == PAID).cast("int")).alias("round_share"))
+    g = df.groupBy("Account").agg(_rows(), F.avg((F.floor(_paid()) == _paid()).cast("int")).alias("round_share"))
     return g.filter((F.col("rows") > more_than) & (F.col("round_share") > share))
 
 
@@ -109,7 +126,7 @@ def bank_hoppers(accounts: DataFrame, more_than: int = 3, n: int | None = 20) ->
 
 def account_dirtiness(df: DataFrame, accounts: DataFrame) -> DataFrame:
     """accounts with dirty: 1 where the account sent a laundering payment."""
-    dirty = df.groupBy(F.col("Account").alias("Account Number")).agg(F.max(Y).alias("dirty"))
+    dirty = df.groupBy(F.col("Account").alias("Account Number")).agg(F.max(_y()).alias("dirty"))
     return accounts.join(dirty, "Account Number", "left").fillna(0, ["dirty"])
 
 
@@ -135,8 +152,8 @@ def linkage(df: DataFrame, accounts: DataFrame) -> DataFrame:
 def score_separation(df: DataFrame, score: str) -> DataFrame:
     """Rows, fraud, mean and largest score by class, and how far the means lie apart."""
     s = F.col(score)
-    of = lambda made, y: made(F.when(Y == y, s))
-    g = df.agg(ROWS, FRAUD, F.avg(Y).alias("fraud_rate"), of(F.avg, 1).alias("mean_fraud"), of(F.avg, 0).alias("mean_legit"), of(F.max, 1).alias("max_fraud"), of(F.max, 0).alias("max_legit"), F.max(s).alias("max_score"))
+    of = lambda made, y: made(F.when(_y() == y, s))
+    g = df.agg(_rows(), _fraud(), F.avg(_y()).alias("fraud_rate"), of(F.avg, 1).alias("mean_fraud"), of(F.avg, 0).alias("mean_legit"), of(F.max, 1).alias("max_fraud"), of(F.max, 0).alias("max_legit"), F.max(s).alias("max_score"))
     return g.withColumn("separation", F.col("mean_fraud") - F.col("mean_legit"))
 
 
@@ -149,5 +166,5 @@ def score_distribution(df: DataFrame, score: str) -> DataFrame:
 def validate_features(df: DataFrame, words: tuple[str, ...] = ("rolling", "burst", "entropy", "anomaly"), most: int = 5) -> DataFrame:
     """Rows, columns, nulls of up to `most` columns whose names hold one of the words, and rows by class: one pass."""
     critical = [c for c in df.columns if any(w in c.lower() for w in words)][:most]
-    facts = {"rows": F.count("*"), "columns": F.max(F.lit(len(df.columns))), "class_0": F.count_if(Y == 0), "class_1": F.count_if(Y == 1)} | {f"nulls_{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in critical}
+    facts = {"rows": F.count("*"), "columns": F.max(F.lit(len(df.columns))), "class_0": F.count_if(_y() == 0), "class_1": F.count_if(_y() == 1)} | {f"nulls_{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in critical}
     return df.agg(*[v.cast("long").alias(k) for k, v in facts.items()])

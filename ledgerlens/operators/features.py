@@ -6,7 +6,7 @@ end at the row before where a feature must not see its own row. Columns of one w
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,16 +14,27 @@ from ..functions.scalars import cyclical, first_digit, is_multiple, iso_weekday,
 from ..functions.windows import ACCOUNT, DAY_US, REFERENCE, TIME, WindowProfile, before, changed, full, lag1, micros, ordered, upto, whole, within
 from ..sources.schemas import require_columns
 
-PAID, RECEIVED, OTHER = F.col("`Amount Paid`"), F.col("`Amount Received`"), F.col("Account_duplicated_0")
 EPS = 1e-6
 
 
+def _paid() -> Column:
+    return F.col("`Amount Paid`")
+
+
+def _received() -> Column:
+    return F.col("`Amount Received`")
+
+
+def _other() -> Column:
+    return F.col("Account_duplicated_0")
+
+
 def add_base_features(df: DataFrame) -> DataFrame:
     ts = F.col(TIME)
     hour, day = cyclical(F.hour(ts), 24), cyclical(iso_weekday(ts), 7)
     df = df.withColumns({
         "hour_sin": hour[0], "hour_cos": hour[1], "day_of_week_sin": day[0], "day_of_week_cos": day[1],
-        "first_digit": first_digit(PAID), "is_round_100": is_multiple(PAID, 100), "is_round_1000": is_multiple(PAID, 1000),
+        "first_digit": first_digit(_paid()), "is_round_100": is_multiple(_paid(), 100), "is_round_1000": is_multiple(_paid(), 1000),
         "account_first_txn": F.min(TIME).over(whole()), "txn_rank_in_account_history": F.row_number().over(ordered()),
         "days_since_last_txn": F.coalesce(F.floor((micros() - F.lag(micros()).over(ordered())) / DAY_US), F.lit(0)),
     })
@@ -35,7 +46,7 @@ def add_calendar_variants(df: DataFrame) -> DataFrame:
     """The exploratory variants: day of month as a cycle, the other first digit, days since the last dealing as a fraction."""
     month = cyclical(F.dayofmonth(TIME), 31)
     gap = F.coalesce((micros() - F.lag(micros()).over(ordered())) / DAY_US, F.lit(0.0))
-    return df.withColumns({"day_of_month_sin": month[0], "day_of_month_cos": month[1], "leading_digit": leading_digit(PAID), "days_since_last_txn_exact": gap})
+    return df.withColumns({"day_of_month_sin": month[0], "day_of_month_cos": month[1], "leading_digit": leading_digit(_paid()), "days_since_last_txn_exact": gap})
 
 
 def precompute_entity_stats(accounts: DataFrame) -> DataFrame:
@@ -54,18 +65,18 @@ def add_entity_features(df: DataFrame, accounts: DataFrame, compat: bool = False
 
 def compute_rolling_features(df: DataFrame, profile: WindowProfile = REFERENCE) -> DataFrame:
     n, frame = profile.n500, before(profile.n500)
-    stat = lambda made: F.coalesce(full(n, made, PAID, frame), F.lit(0.0))
+    stat = lambda made: F.coalesce(full(n, made, _paid(), frame), F.lit(0.0))
     # the nearest rank to the middle of n sorted values
-    values = F.array_sort(F.collect_list(PAID).over(frame))
+    values = F.array_sort(F.collect_list(_paid()).over(frame))
     df = df.withColumns({
         "txn_count_total": F.count(TIME).over(whole()),
         **{f"txn_count_{name}": F.count("*").over(before(k)) for name, k in (("24h", profile.n24), ("7d", profile.n168), ("28d", n))},
-        "total_amount_paid_28d": stat(F.sum(PAID)), "total_amount_received_28d": F.coalesce(full(n, F.sum(RECEIVED), RECEIVED, frame), F.lit(0.0)),
-        "mean_amount_paid_28d": stat(F.avg(PAID)), "std_amount_paid_28d": stat(F.stddev_samp(PAID)), "max_amount_paid_28d": stat(F.max(PAID)),
-        "median_amount_paid_28d": F.coalesce(F.when(F.count(PAID).over(frame) >= n, F.try_element_at(values, F.lit(int((n - 1) * 0.5 + 0.5) + 1))), F.lit(0.0)),
-        "baseline": F.coalesce(full(n, F.avg(PAID), PAID, frame), F.lit(1.0)),
+        "total_amount_paid_28d": stat(F.sum(_paid())), "total_amount_received_28d": F.coalesce(full(n, F.sum(_received()), _received(), frame), F.lit(0.0)),
+        "mean_amount_paid_28d": stat(F.avg(_paid())), "std_amount_paid_28d": stat(F.stddev_samp(_paid())), "max_amount_paid_28d": stat(F.max(_paid())),
+        "median_amount_paid_28d": F.coalesce(F.when(F.count(_paid()).over(frame) >= n, F.try_element_at(values, F.lit(int((n - 1) * 0.5 + 0.5) + 1))), F.lit(0.0)),
+        "baseline": F.coalesce(full(n, F.avg(_paid()), _paid(), frame), F.lit(1.0)),
     })
-    return df.withColumn("amount_vs_baseline_ratio", PAID / (F.col("baseline") + EPS)).drop("baseline")
+    return df.withColumn("amount_vs_baseline_ratio", _paid() / (F.col("baseline") + EPS)).drop("baseline")
 
 
 def compute_time_window_features(df: DataFrame) -> DataFrame:
@@ -74,8 +85,8 @@ def compute_time_window_features(df: DataFrame) -> DataFrame:
     w28 = within(28)
     return df.withColumns({
         "txn_count_1h": F.count("*").over(hour), "txn_count_24h": F.count("*").over(within(1)), "txn_count_7d": F.count("*").over(within(7)), "txn_count_28d": F.count("*").over(w28),
-        "total_amount_paid_28d": F.sum(PAID).over(w28), "total_amount_received_28d": F.sum(RECEIVED).over(w28), "mean_amount_paid_28d": F.avg(PAID).over(w28),
-        "std_amount_paid_28d": F.stddev_samp(PAID).over(w28), "median_amount_paid_28d": F.percentile(PAID, F.lit(0.5)).over(w28), "max_amount_paid_28d": F.max(PAID).over(w28),
+        "total_amount_paid_28d": F.sum(_paid()).over(w28), "total_amount_received_28d": F.sum(_received()).over(w28), "mean_amount_paid_28d": F.avg(_paid()).over(w28),
+        "std_amount_paid_28d": F.stddev_samp(_paid()).over(w28), "median_amount_paid_28d": F.percentile(_paid(), F.lit(0.5)).over(w28), "max_amount_paid_28d": F.max(_paid()).over(w28),
     })
 
 
@@ -84,7 +95,7 @@ def compute_advanced_features(df: DataFrame) -> DataFrame:
     require_columns(df, ["total_amount_paid_28d", "total_amount_received_28d"], "rolling features")
     df = df.withColumns({
         "inflow_outflow_ratio_28d": ratio(F.col("total_amount_received_28d"), F.col("total_amount_paid_28d") + EPS), "bank_switch": changed("To Bank").cast("int"),
-        "prev_amount_paid": lag1(PAID), "is_rush_txn": F.coalesce(micros() - F.lag(micros()).over(ordered()) < 60_000_000, F.lit(False)).cast("byte"), "prev_was_sender": lag1((PAID > 0).cast("byte")),
+        "prev_amount_paid": lag1(_paid()), "is_rush_txn": F.coalesce(micros() - F.lag(micros()).over(ordered()) < 60_000_000, F.lit(False)).cast("byte"), "prev_was_sender": lag1((_paid() > 0).cast("byte")),
     })
     df = df.withColumns({f"switches_{d}": F.sum("bank_switch").over(within(d)) for d in (7, 28)})
     return df.withColumns({f"counterparty_diversity_{d}d": F.coalesce(lag1(f"switches_{d}"), F.lit(0)) for d in (7, 28)}).drop("switches_7", "switches_28").withColumnRenamed("bank_switch", "is_bank_switch")
@@ -93,7 +104,7 @@ def compute_advanced_features(df: DataFrame) -> DataFrame:
 def compute_derived_features(df: DataFrame) -> DataFrame:
     mean, c = F.col("mean_amount_paid_28d"), F.col
     return df.withColumns({
-        "txn_velocity_ratio": c("txn_count_24h") / (c("txn_count_7d") + 1), "amount_deviation_from_avg": ratio(PAID - mean, mean + 1), "amount_vs_max_ratio": ratio(PAID, c("max_amount_paid_28d") + 1),
+        "txn_velocity_ratio": c("txn_count_24h") / (c("txn_count_7d") + 1), "amount_deviation_from_avg": ratio(_paid() - mean, mean + 1), "amount_vs_max_ratio": ratio(_paid(), c("max_amount_paid_28d") + 1),
         "avg_txn_size_28d": c("total_amount_paid_28d") / (c("txn_count_28d") + 1), "amount_cv_28d": ratio(c("std_amount_paid_28d"), mean + EPS),
     })
 
@@ -116,7 +127,7 @@ def compute_timegap_statistics(df: DataFrame, profile: WindowProfile = REFERENCE
 
 def compute_velocity_metrics(df: DataFrame, profile: WindowProfile = REFERENCE) -> DataFrame:
     v = F.col("amount_paid_last_100")
-    df = df.withColumn("amount_paid_last_100", full(profile.n100, F.sum(PAID), PAID, upto(profile.n100)))
+    df = df.withColumn("amount_paid_last_100", full(profile.n100, F.sum(_paid()), _paid(), upto(profile.n100)))
     last = lag1(v)
     df = df.withColumns({"txn_velocity_delta": F.coalesce(v - last, F.lit(0.0)), "amount_velocity_pct_change": F.coalesce(ratio(v - last, last + EPS), F.lit(0.0)), "first_difference": v - last})
     return df.withColumn("amount_acceleration_2nd_order", F.coalesce(F.col("first_difference") - lag1("first_difference"), F.lit(0.0))).drop("first_difference")
@@ -124,15 +135,15 @@ def compute_velocity_metrics(df: DataFrame, profile: WindowProfile = REFERENCE)
 
 def compute_concentration_metrics(df: DataFrame, profile: WindowProfile = REFERENCE) -> DataFrame:
     r, prior, n = F.col("is_repeat"), before(profile.n500), profile.n500
-    df = df.withColumn("is_repeat", F.coalesce((OTHER == lag1(OTHER)).cast("int"), F.lit(0)))
-    cv = full(n, F.stddev_samp(PAID), PAID, prior) / (full(n, F.avg(PAID), PAID, prior) + EPS)
+    df = df.withColumn("is_repeat", F.coalesce((_other() == lag1(_other())).cast("int"), F.lit(0)))
+    cv = full(n, F.stddev_samp(_paid()), _paid(), prior) / (full(n, F.avg(_paid()), _paid(), prior) + EPS)
     return df.withColumns({
         "concentration_ratio_7d": full(profile.n120, F.sum(r), r, upto(profile.n120)) / profile.n120, "concentration_ratio_28d": full(n, F.sum(r), r, upto(n)) / n, "amount_concentration_cv_28d": F.coalesce(cv, F.lit(0.0)),
     }).drop("is_repeat")
 
 
 def compute_round_number_patterns(df: DataFrame, profile: WindowProfile = REFERENCE) -> DataFrame:
-    df = df.withColumns({f"is_multiple_{k}": is_multiple(PAID, k) for k in (100, 500, 1000)})
+    df = df.withColumns({f"is_multiple_{k}": is_multiple(_paid(), k) for k in (100, 500, 1000)})
     hundred, thousand, w50, w5 = F.col("is_multiple_100"), F.col("is_multiple_1000"), upto(profile.n50), upto(profile.n5)
     return df.withColumns({
         "round_100_ratio_50txns": full(profile.n50, F.avg(hundred), hundred, w50), "round_1000_ratio_50txns": full(profile.n50, F.avg(thousand), thousand, w50),
@@ -169,7 +180,7 @@ def compute_counterparty_entropy(df: DataFrame) -> DataFrame:
 
 def _receivers(df: DataFrame) -> DataFrame:
     """Distinct receivers per account, null counted as one: an aggregate and a join, as windows cannot count distinct values."""
-    return df.groupBy(ACCOUNT).agg(n_unique(OTHER).alias("receivers"))
+    return df.groupBy(ACCOUNT).agg(n_unique(_other()).alias("receivers"))
 
 
 def compute_counterparty_switching_metrics(df: DataFrame, profile: WindowProfile = REFERENCE) -> DataFrame:
@@ -198,21 +209,21 @@ def compute_temporal_counterparty_patterns(df: DataFrame, profile: WindowProfile
 
 def compute_relationship_asymmetry(df: DataFrame, profile: WindowProfile = REFERENCE, compat: bool = False) -> DataFrame:
     """Pair keys, dealings per pair. The undirected key hashes both ends, so that both directions meet, unless compat (hash against plain id)."""
-    other = OTHER if compat else F.xxhash64(OTHER).cast("string")
-    other = F.when(OTHER.isNotNull(), other)
+    other = _other() if compat else F.xxhash64(_other()).cast("string")
+    other = F.when(_other().isNotNull(), other)
     a, pair = F.col(ACCOUNT), "account_pair_directed"
-    df = df.withColumns({pair: F.concat(a, F.lit("|"), OTHER), "account_pair_undirected": F.concat(F.least(a, other), F.lit("|"), F.when(other.isNotNull(), F.greatest(a, other)))})
+    df = df.withColumns({pair: F.concat(a, F.lit("|"), _other()), "account_pair_undirected": F.concat(F.least(a, other), F.lit("|"), F.when(other.isNotNull(), F.greatest(a, other)))})
     df = df.withColumn("txns_in_directed_pair", F.count("*").over(whole(ACCOUNT, "Account_duplicated_0")))
     often = (F.col("txns_in_directed_pair") > 5).cast("int")
     return df.withColumns({
         "asymmetric_pair_evidence_28d": full(profile.n500, F.sum(often), often, upto(profile.n500, ACCOUNT, "Account_duplicated_0")),
-        "amount_asymmetry_with_counterparty": F.coalesce(ratio(PAID, lag1(PAID, ACCOUNT, "Account_duplicated_0") + EPS), F.lit(1.0)),
+        "amount_asymmetry_with_counterparty": F.coalesce(ratio(_paid(), lag1(_paid(), ACCOUNT, "Account_duplicated_0") + EPS), F.lit(1.0)),
     })
 
 
 def compute_network_centrality_proxy(df: DataFrame) -> DataFrame:
     senders = df.groupBy("Account_duplicated_0").agg(n_unique(F.col(ACCOUNT)).alias("in_degree_approximation")).withColumnRenamed("Account_duplicated_0", "receiver")
-    df = df.join(_receivers(df).withColumnRenamed("receivers", "out_degree_approximation"), ACCOUNT, "left").join(senders, OTHER.eqNullSafe(F.col("receiver")), "left").drop("receiver")
+    df = df.join(_receivers(df).withColumnRenamed("receivers", "out_degree_approximation"), ACCOUNT, "left").join(senders, _other().eqNullSafe(F.col("receiver")), "left").drop("receiver")
     return df.withColumn("betweenness_centrality_proxy", F.sqrt(F.col("out_degree_approximation") * F.col("in_degree_approximation")))
 
 
@@ -235,4 +246,4 @@ def compute_corridor_risk_score(df: DataFrame, profile: WindowProfile = REFERENC
     """Amounts of the corridor's dealings before this one."""
     df = df.withColumn("corridor", F.concat(F.col("`From Bank`"), F.lit("_to_"), F.col("`To Bank`")))
     frame, n = before(profile.n500, "corridor"), profile.n500
-    return df.withColumns({"corridor_mean_amount_28d": F.coalesce(full(n, F.avg(PAID), PAID, frame), F.lit(0.0)), "corridor_std_amount_28d": F.coalesce(full(n, F.stddev_samp(PAID), PAID, frame), F.lit(0.0))})
+    return df.withColumns({"corridor_mean_amount_28d": F.coalesce(full(n, F.avg(_paid()), _paid(), frame), F.lit(0.0)), "corridor_std_amount_28d": F.coalesce(full(n, F.stddev_samp(_paid()), _paid(), frame), F.lit(0.0))})

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import salted_sha256
 from ..functions.windows import SMALL
-from ..operators import corridors, eda, features, graph, metrics, sampling, splits
+from ..operators import corridors, eda, explain, features, graph, iforest, learning, metrics, sampling, splits
 from ..sources.views import ACCT_SQL, TXN_SQL, accounts, transactions
+from . import pipeline
 
 _queries: dict = {}
 _oracles: dict = {}
@@ -20,13 +21,13 @@ P = SMALL
 
 
 def tidy(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns with integers as long and floating numbers rounded to 6 places."""
+    """The named columns with integers as long and floating numbers rounded to 6 places. Halves are nudged up by 1e-9, here and in the SQL: sums differ in their last bits."""
     kinds = {f.name: f.dataType for f in df.schema}
     out = []
     for n in names or df.columns:
         c = F.col(f"`{n}`")
         if isinstance(kinds[n], T.FractionalType):
-            c = F.round(c.cast("double"), 6)
+            c = F.round(c.cast("double") + 1e-9, 6)
         elif isinstance(kinds[n], T.IntegralType):
             c = c.cast("long")
         out.append(c.alias(n))
@@ -40,7 +41,7 @@ def sql(select: dict[str, str], source: str, *ctes: str) -> str:
         if name[0] == "#":
             made.append(f'CAST({e} AS BIGINT) AS "{name[1:]}"')
         elif name[0] == "~":
-            made.append(f'round(CAST({e} AS DOUBLE), 6) AS "{name[1:]}"')
+            made.append(f'round(CAST({e} AS DOUBLE) + 1e-9, 6) AS "{name[1:]}"')
         else:
             made.append(f'{e} AS "{name}"')
     return f"WITH {', '.join((TXN_SQL, ACCT_SQL, *ctes))} SELECT {', '.join(made)} FROM {source}"
@@ -157,7 +158,7 @@ _txn("bank_degree", sql({"node": "node", "#out_degree": "sum(o)", "#in_degree":
 _oracle_rank = f"""WITH RECURSIVE {TXN_SQL}, {_EDGES}, n AS (SELECT DISTINCT src AS node FROM e UNION SELECT DISTINCT dst FROM e), k AS (SELECT count(*) AS c FROM n),
  sh AS (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS p FROM e),
  r(it, node, v) AS (SELECT 0, node, CAST(1.0 / c AS DOUBLE) FROM n, k UNION ALL SELECT any_value(it) + 1, dst, any_value(0.15 / c) + 0.85 * sum(p * v) FROM r JOIN sh ON node = src, k WHERE it < 60 GROUP BY dst)
- SELECT node, round(v, 6) AS pagerank FROM r WHERE it = 60"""
+ SELECT node, round(v + 1e-9, 6) AS pagerank FROM r WHERE it = 60"""
 _txn("bank_pagerank", _oracle_rank)(lambda t: graph.pagerank(graph.bank_edges(t), tolerance=1e-9))
 _txn("bank_centrality", None, ["from_bank_out_degree", "pagerank_from_bank", "to_bank_in_degree", "pagerank_to_bank"])(graph.compute_bank_centrality_features)
 
@@ -328,6 +329,76 @@ _txn("reservoir", sql({"#txn_id": "txn_id"}, f"(SELECT *, row_number() OVER (PAR
 _txn("local_case_select", sql({"#txn_id": "txn_id", "case_type": "CASE WHEN abs(score - 0.5) <= 0.05 THEN 'borderline' WHEN score > 0.5 THEN 'high_risk' ELSE 'normal' END"}, "(SELECT * FROM ((SELECT * FROM sc ORDER BY score DESC, txn_id LIMIT 100) UNION (SELECT * FROM sc WHERE abs(score - 0.5) <= 0.05 ORDER BY abs(score - 0.5), txn_id LIMIT 50)))", _SCORED))(lambda t: sampling.top_and_borderline(scored(t), "score").select("txn_id", "case_type"))
 
 
+# --- imputation and models -----------------------------------------------------------------------------------------------------------------------------
+
+_GAPS = "ga AS (SELECT *, CASE WHEN txn_id % 7 = 0 THEN NULL ELSE amt END AS gx FROM txn)"
+
+
+def _with_gaps(t: DataFrame) -> DataFrame:
+    return t.withColumn("gx", F.when(F.col("txn_id") % 7 != 0, F.col("Amount Paid")).when(F.col("txn_id") % 2 == 0, F.lit(float("inf"))))
+
+
+_txn("null_median_impute", sql({"#txn_id": "txn_id", "~gx": "coalesce(gx, (SELECT median(gx) FROM ga WHERE y = 0))"}, "ga", _GAPS))(lambda t: learning.fill_non_finite(_with_gaps(t), learning.legit_medians(_with_gaps(t), ["gx"])).select("txn_id", "gx"))
+_txn("mean_impute", sql({"#txn_id": "txn_id", "~gx": "coalesce(gx, (SELECT avg(gx) FROM ga))"}, "ga", _GAPS))(lambda t: learning.fill_non_finite(_with_gaps(t), learning.impute_values(_with_gaps(t), ["gx"])).select("txn_id", "gx"))
+_txn("variance_filter", sql({"feature": "feature", "~variance": "v"}, "(SELECT 'Amount Paid' AS feature, var_pop(amt) AS v FROM txn UNION ALL SELECT 'Amount Received', var_pop(rcv) FROM txn UNION ALL SELECT 'constant', 0) WHERE v > 0.001"))(
+    lambda t: t.sparkSession.createDataFrame([(c, v) for c, v in learning.variances(t.withColumn("constant", F.lit(1.0)), ["Amount Paid", "Amount Received", "constant"]).items() if v > 0.001], "feature string, variance double")
+)
+
+
+def model_rows(t: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Labelled rows with a few features, one of which knows something of the label."""
+    made = features.compute_advanced_features(_rolled(features.add_base_features(t)))
+    made = made.join(scored(t).select("txn_id", F.col("score").alias("hint")), "txn_id").withColumn("label", F.col("Is Laundering"))
+    columns = ["hint", "Amount Paid", "hour_sin", "hour_cos", "mean_amount_paid_28d", "counterparty_diversity_7d"]
+    plain = [c.replace(" ", "_") for c in columns]
+    return made.select("txn_id", "Timestamp", "label", *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(p) for c, p in zip(columns, plain)]), plain
+
+
+def _parts(t: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    rows, columns = model_rows(t)
+    parts = sampling.stratified_split(rows, "label", 0.3).persist()
+    return parts.filter("part = 'train'"), parts.filter("part = 'test'"), columns
+
+
+@_txn("iforest_score", None, ["anomaly_score"])
+def _iforest(t: DataFrame) -> DataFrame:
+    rows, columns = model_rows(t)
+    return iforest.score(rows, iforest.fit(rows.filter("label = 0"), columns, trees=50, max_samples=256))
+
+
+@_txn("platt", None)
+def _platt(t: DataFrame) -> DataFrame:
+    rows = scored(t)
+    fitted = learning.platt_fit(rows.filter("txn_id % 2 = 0"))
+    return metrics.calibration_error(learning.platt_apply(fitted, rows.filter("txn_id % 2 = 1")), score="calibrated")
+
+
+@_txn("model_compare", None)
+def _model_compare(t: DataFrame) -> DataFrame:
+    train, test, columns = _parts(t)
+    small = {"random_forest": {"trees": 10, "depth": 4}}
+    log = learning.experiments(train, test, columns, balancing=["none", "class_weight"], draws=1, settings=small)
+    return t.sparkSession.createDataFrame([(r["phase"], r["balancing_method"], r["model_name"], r["params"], r["pr_auc"], r["roc_auc"], r["status"]) for r in log], "phase int, balancing string, model string, params string, pr_auc double, roc_auc double, status string")
+
+
+@_txn("shap_importance", None)
+def _shap(t: DataFrame) -> DataFrame:
+    train, test, columns = _parts(t)
+    model = learning.build(learning.make("random_forest", trees=5, depth=4), columns).fit(learning.with_weights(train, 5.0)).stages[-1]
+    return explain.global_importance(explain.shap_values(sampling.sample_rows(test, 1000), model, columns), columns)
+
+
+@_txn("smote", None)
+def _smote(t: DataFrame) -> DataFrame:
+    rows, columns = model_rows(t)
+    return sampling.smote(rows, "label", columns, ratio=0.5).groupBy("label").agg(F.count("*").alias("rows"), F.avg("hint").alias("mean_hint"))
+
+
+@query("full_features")
+def _full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.build_training_features(transactions(spark, sf_dir), accounts(spark, sf_dir), P, min_txns=20)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corridors of the training days, joined back, with the volume that each account moved over toxic ones before each dealing."""
     t = transactions(spark, sf_dir)
