@@ -23,12 +23,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import count_slots, segments
+from .anchors import SEGMENT, count_slots, packed, segments, unpacked
 from .common import as_text, lookup, written
 from .exact_dedup import membership_filter, split_by_filter
 from .textops import RangeHash, Words, groups_of, in_chunks, mix
 
-SEGMENT = "key long, doc_id long, row_hash long, start long, windows int, content binary"
 LAST = 1 << 62  # stands for a null id
 
 
@@ -46,10 +45,11 @@ class WordSegments:
         w = Words(texts)
         n = len(w.hash)
         if n < self.window:
-            return segments(np.zeros(0, np.uint64), self.window, self.gram, np.zeros(len(texts) + 1, np.int64)) + (w,)
+            return (*segments(np.zeros(0, np.uint64), self.window, self.gram, np.zeros(len(texts) + 1, np.int64)), np.zeros(0, np.uint64), w)
         at = np.arange(n - self.gram + 1)
-        grams = RangeHash(w.hash, values=True)(at, at + self.gram)
-        return segments(grams, self.window, self.gram, w.first) + (w,)
+        ranges = RangeHash(w.hash, values=True)
+        text, start, k, key, lead = segments(ranges(at, at + self.gram), self.window, self.gram, w.first)
+        return text, start, k, key, lead, ranges(start, start + k - 1 + self.window), w
 
 
 def nodes(words: np.ndarray, first: np.ndarray, depth: int) -> np.ndarray:
@@ -68,7 +68,7 @@ def nodes(words: np.ndarray, first: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 5000, max_bits: int = 28, local: int = 1 << 14) -> DataFrame:
+def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 40_000, max_bits: int = 28, local: int = 1 << 14) -> DataFrame:
     """doc_id, row_hash, start, windows: runs of windows that start earlier elsewhere. rows: as row_key gives them."""
     find = WordSegments(window, gram)
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -76,33 +76,47 @@ def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 5000, max_
 
     def cold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, texts in in_chunks(batches, "text"):
-            text, start, n, key, w = find(texts)
-            keep = np.flatnonzero(held.test("twice", key) & ~held.test("hot", key))
-            text, start, n, key = text[keep], start[keep], n[keep], key[keep]
-            raw, a, b = w.data.tobytes(), w.start[start], w.end[start + n + window - 2]
-            yield pd.DataFrame({"key": key.view(np.int64), "doc_id": pdf["doc_id"].to_numpy()[text], "row_hash": pdf["row_hash"].to_numpy()[text], "start": start - w.first[text], "windows": n.astype(np.int32),
-                                "content": [raw[i:j] for i, j in zip(a.tolist(), b.tolist())]})
+            *parts, w = find(texts)
+            keep = np.flatnonzero(held.test("twice", parts[3]) & ~held.test("hot", parts[3]))
+            text, start, n, key, lead, content = (x[keep] for x in parts)
+            raw, a, b = w.data.tobytes(), w.start[start].tolist(), w.end[start + n + window - 2].tolist()
+            yield packed(pdf, text, start - w.first[text], n, key, lead, content, lambda i: raw[a[i] : b[i]])
 
     def tree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in groups_of(batches, ["key"], local):
-            w = Words(list(pdf["content"]))
-            n = pdf["windows"].to_numpy().astype(np.int64)
-            owner = np.repeat(np.arange(len(pdf)), n)
+        for rows_ in groups_of(batches, ["key"], local):
+            w = Words(list(rows_["content"]))
+            n = rows_["windows"].to_numpy().astype(np.int64)
+            places, row_of = unpacked(list(rows_["places"]))
+            # a row's own first place comes before its others window by window, so only that can hold a node's first
+            order = np.lexsort((places[:, 1], places[:, 2], places[:, 0], row_of))
+            places, row_of = places[order], row_of[order]
+            own = np.flatnonzero(np.r_[True, row_of[1:] != row_of[:-1]])
+            owner = np.repeat(np.arange(len(n)), n)
             at = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
             node = nodes(w.hash, w.first[owner] + at, window)
-            doc, row, begin = (pdf[c].to_numpy()[owner] for c in ("doc_id", "row_hash", "start"))
-            begin = begin + at
+            doc, row, begin = places[own, 0][owner], places[own, 1][owner], places[own, 2][owner] + at
             order = np.lexsort((row, begin, doc, node))
-            lead = np.r_[True, node[order][1:] != node[order][:-1]]
+            head = order[np.flatnonzero(np.r_[True, node[order][1:] != node[order][:-1]])]
+            first = np.empty(int(node.max()) + 1, np.int64)
+            first[node[head]] = head
             # repeated rows of one document share its first place
-            head = order[np.flatnonzero(lead)][np.cumsum(lead) - 1]
-            later = np.zeros(len(order), bool)
-            later[order] = (doc[order] != doc[head]) | (begin[order] != begin[head])
+            later = (doc != doc[first[node]]) | (begin != begin[first[node]])
             yield _runs(doc, row, begin, later)
+            others = np.ones(len(places), bool)
+            others[own] = False
+            same = (places[:, 0] == places[own, 0][row_of]) & (places[:, 2] == places[own, 2][row_of])
+            # a repeated row at the first place itself goes as that does
+            twin = np.flatnonzero(others & same)
+            if len(twin):
+                length = n[row_of[twin]]
+                spot = np.repeat((np.cumsum(n) - n)[row_of[twin]], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+                yield _runs(doc[spot], np.repeat(places[twin, 1], length), begin[spot], later[spot])
+            rest = np.flatnonzero(others & ~same)
+            yield pd.DataFrame({"doc_id": places[rest, 0], "row_hash": places[rest, 1], "start": places[rest, 2], "windows": n[row_of[rest]].astype(np.int32)})
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, texts in in_chunks(batches, "text"):
-            text, start, n, key, w = find(texts)
+            text, start, n, key, _, _, w = find(texts)
             keep = np.flatnonzero(held.test("hot", key))
             text, start, n = np.repeat(text[keep], n[keep]), start[keep], n[keep]
             at = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)

@@ -85,7 +85,7 @@ class Words:
         self.hash = RangeHash(self.data)(self.start, self.end)
 
 
-def in_chunks(batches: Iterable[pd.DataFrame], column: str, most: int = 1 << 21) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
+def in_chunks(batches: Iterable[pd.DataFrame], column: str, most: int = 1 << 20) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
     """Rows in chunks of about `most` bytes of text (one row at least), with their texts as UTF-8; null is empty."""
     for pdf in batches:
         texts = [t.encode() if isinstance(t, str) else bytes(t) if t is not None else b"" for t in pdf[column]]
