@@ -169,9 +169,9 @@ def add_advanced_rolling_features(df: DataFrame, profile: WindowProfile = REFERE
     return df
 
 
-def compute_counterparty_entropy(df: DataFrame) -> DataFrame:
-    """-sum p ln p over the account's receivers, of all its rows."""
-    pairs = df.groupBy(ACCOUNT, "Account_duplicated_0").agg(F.count("*").alias("n"))
+def compute_counterparty_entropy(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """-sum p ln p over the account's receivers, of all its rows. source: the plain rows that df was made from, so that its windows are not planned twice."""
+    pairs = (source or df).groupBy(ACCOUNT, "Account_duplicated_0").agg(F.count("*").alias("n"))
     totals = pairs.groupBy(ACCOUNT).agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
     # -sum n/t ln(n/t) = ln t - sum(n ln n) / t: one pass over the pairs
     entropy = totals.select(ACCOUNT, (F.log("total") - F.col("nlogn") / F.col("total")).alias("counterparty_entropy_28d"))
@@ -183,9 +183,9 @@ def _receivers(df: DataFrame) -> DataFrame:
     return df.groupBy(ACCOUNT).agg(n_unique(_other()).alias("receivers"))
 
 
-def compute_counterparty_switching_metrics(df: DataFrame, profile: WindowProfile = REFERENCE) -> DataFrame:
+def compute_counterparty_switching_metrics(df: DataFrame, profile: WindowProfile = REFERENCE, source: DataFrame | None = None) -> DataFrame:
     s = F.col("is_counterparty_switch")
-    df = df.join(_receivers(df), ACCOUNT, "left").withColumnRenamed("receivers", "num_unique_receivers_28d")
+    df = df.join(_receivers(source or df), ACCOUNT, "left").withColumnRenamed("receivers", "num_unique_receivers_28d")
     df = df.withColumn("is_counterparty_switch", changed("Account_duplicated_0").cast("byte"))
     df = df.withColumns({"counterparty_switch_rate_50txns": full(profile.n50, F.avg(s), s, upto(profile.n50)), "total_counterparty_switches_28d": full(profile.n500, F.sum(s), s, upto(profile.n500))})
     return df.withColumn("counterparty_recycling_ratio_28d", F.col("num_unique_receivers_28d") / (F.col("total_counterparty_switches_28d") + 1))
@@ -221,16 +221,17 @@ def compute_relationship_asymmetry(df: DataFrame, profile: WindowProfile = REFER
     })
 
 
-def compute_network_centrality_proxy(df: DataFrame) -> DataFrame:
-    senders = df.groupBy("Account_duplicated_0").agg(n_unique(F.col(ACCOUNT)).alias("in_degree_approximation")).withColumnRenamed("Account_duplicated_0", "receiver")
-    df = df.join(_receivers(df).withColumnRenamed("receivers", "out_degree_approximation"), ACCOUNT, "left").join(senders, _other().eqNullSafe(F.col("receiver")), "left").drop("receiver")
+def compute_network_centrality_proxy(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    source = source or df
+    senders = source.groupBy("Account_duplicated_0").agg(n_unique(F.col(ACCOUNT)).alias("in_degree_approximation")).withColumnRenamed("Account_duplicated_0", "receiver")
+    df = df.join(_receivers(source).withColumnRenamed("receivers", "out_degree_approximation"), ACCOUNT, "left").join(senders, _other().eqNullSafe(F.col("receiver")), "left").drop("receiver")
     return df.withColumn("betweenness_centrality_proxy", F.sqrt(F.col("out_degree_approximation") * F.col("in_degree_approximation")))
 
 
-def add_counterparty_entropy_features(df: DataFrame, profile: WindowProfile = REFERENCE) -> DataFrame:
-    df = compute_counterparty_switching_metrics(compute_counterparty_entropy(df), profile)
+def add_counterparty_entropy_features(df: DataFrame, profile: WindowProfile = REFERENCE, source: DataFrame | None = None) -> DataFrame:
+    df = compute_counterparty_switching_metrics(compute_counterparty_entropy(df, source), profile, source)
     df = compute_temporal_counterparty_patterns(compute_network_balance_ratios(df), profile)
-    return compute_network_centrality_proxy(compute_relationship_asymmetry(df, profile))
+    return compute_network_centrality_proxy(compute_relationship_asymmetry(df, profile), source)
 
 
 def compute_account_network_features(df: DataFrame, profile: WindowProfile = REFERENCE, fix_repeat_rate: bool = False) -> DataFrame:

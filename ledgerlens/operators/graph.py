@@ -61,9 +61,9 @@ def pagerank(edges: DataFrame, damping: float = 0.85, most: int = 100, tolerance
     return rank.select("node", "pagerank")
 
 
-def compute_bank_centrality_features(df: DataFrame) -> DataFrame:
-    """from_bank_out_degree, pagerank_from_bank, to_bank_in_degree, pagerank_to_bank, over all rows given."""
-    edges = bank_edges(df).persist()
+def compute_bank_centrality_features(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """from_bank_out_degree, pagerank_from_bank, to_bank_in_degree, pagerank_to_bank, over all rows given (or the plain rows that they were made from)."""
+    edges = bank_edges(source or df).persist()
     known = degrees(edges).join(pagerank(edges), "node")
     start = known.select(F.col("node").alias("From Bank"), F.col("out_degree").alias("from_bank_out_degree"), F.col("pagerank").alias("pagerank_from_bank"))
     end = known.select(F.col("node").alias("To Bank"), F.col("in_degree").alias("to_bank_in_degree"), F.col("pagerank").alias("pagerank_to_bank"))

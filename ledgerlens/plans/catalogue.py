@@ -272,13 +272,13 @@ _txn("pii_sha256", sql({"#txn_id": "txn_id", "hashed": "sha256(acc || 'salt')"},
 
 # --- scores, samples, metrics --------------------------------------------------------------------------------------------------------------------------
 
-_SCORED = "sc AS (SELECT txn_id, ts, y AS label, ((txn_id * 7919) % 1000) / 1000 * 0.7 + y * 0.3 * ((txn_id % 3) / 2) AS score, ((txn_id * 104729) % 997) / 997 AS anomaly FROM txn)"
+_SCORED = "sc AS (SELECT txn_id, ts, y AS label, ((txn_id * 7919) % 1000) / 1000 * 0.7 + y * 0.3 * ((txn_id % 5) / 4) AS score, ((txn_id * 104729) % 997) / 997 AS anomaly FROM txn)"
 
 
 def scored(t: DataFrame) -> DataFrame:
     """A deterministic score that knows a little of the label, with ties."""
     i = F.col("txn_id")
-    return t.select("txn_id", "Timestamp", F.col("`Is Laundering`").alias("label"), (((i * 7919) % 1000) / 1000 * 0.7 + F.col("`Is Laundering`") * 0.3 * ((i % 3) / 2)).alias("score"), (((i * 104729) % 997) / 997).alias("anomaly_score"))
+    return t.select("txn_id", "Timestamp", F.col("`Is Laundering`").alias("label"), (((i * 7919) % 1000) / 1000 * 0.7 + F.col("`Is Laundering`") * 0.3 * ((i % 5) / 4)).alias("score"), (((i * 104729) % 997) / 997).alias("anomaly_score"))
 
 
 _PT = """p0 AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM sc GROUP BY score), p1 AS (SELECT *, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp, sum(pos) OVER () AS np, sum(neg) OVER () AS nn FROM p0),

@@ -17,8 +17,8 @@ def build_split_features(rows: DataFrame, accounts: DataFrame, toxic: DataFrame
     """All derived columns of one split. Bank graph and centralities are those of the split's rows."""
     df = features.add_entity_features(features.add_base_features(rows), accounts)
     df = features.compute_derived_features(features.compute_advanced_features(features.compute_rolling_features(df, profile)))
-    df = features.add_counterparty_entropy_features(features.add_advanced_rolling_features(df, profile), profile)
-    df = graph.compute_bank_centrality_features(df)
+    df = features.add_counterparty_entropy_features(features.add_advanced_rolling_features(df, profile), profile, rows)
+    df = graph.compute_bank_centrality_features(df, rows)
     df = features.compute_corridor_risk_score(features.compute_account_network_features(df, profile), profile)
     return corridors.apply_toxic_corridor_features(df, toxic, profile).drop("is_bank_switch")
 
