@@ -1,7 +1,7 @@
 """Suffix-array dedup over bytes: threshold-bounded interval expansion on a Burrows-Wheeler transform.
 
 Every byte covered by a `window`-byte string that also starts anywhere else is removed (same document included); strings are judged on the input and
-never cross documents. Strings that may repeat (see anchors) are gathered by anchor; equal segments of an anchor are one text with a count. Tasks concatenate whole
+never cross documents. Strings that may repeat (see anchors) are gathered by anchor; equal segments of an anchor are one text with a count. Tasks concatenate the different texts of whole
 groups, up to `local` bytes, sort the suffixes, and take the BWT. From there common prefixes are derived as Beller, Gog, Ohlebusch and Schnattinger (2013) do:
 the interval of a string w is extended backward by each byte; the extension's right edge gets the length of w as common prefix if it has none yet, and is expanded
 further only then. So values come in increasing order, level by level, and the expansion stops at `window`: an edge without a value by then parts suffixes that
@@ -24,9 +24,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import count_slots, segments
+from .anchors import SEGMENT, count_slots, packed, segments, unpacked
 from .common import lookup, written
-from .suffix_trees import SEGMENT, covered, row_key, with_runs
+from .suffix_trees import covered, row_key, with_runs
 from .textops import RangeHash, groups_of, in_chunks
 
 RUN = "doc_id long, row_hash long, start long, windows int"
@@ -44,38 +44,43 @@ class ByteSegments:
         # a text's part ends before its separator, so its length counts one less
         ends = at[1:] - 1
         if len(data) < self.window:
-            return segments(np.zeros(0, np.uint64), self.window, self.gram, np.zeros(len(texts) + 1, np.int64)) + (data, at)
+            return (*segments(np.zeros(0, np.uint64), self.window, self.gram, np.zeros(len(texts) + 1, np.int64)), np.zeros(0, np.uint64), data, at)
         p = np.arange(len(data) - self.gram + 1)
-        grams = RangeHash(data)(p, p + self.gram)
+        ranges = RangeHash(data)
+        grams = ranges(p, p + self.gram)
         bounds = np.stack([at[:-1], ends], 1).reshape(-1)  # texts and separators alternate; separators are too short for a window
-        text, start, n, key = segments(grams, self.window, self.gram, np.r_[bounds, len(data)])
-        return text // 2, start, n, key, data, at
+        text, start, n, key, lead = segments(grams, self.window, self.gram, np.r_[bounds, len(data)])
+        return text // 2, start, n, key, lead, ranges(start, start + n - 1 + self.window), data, at
 
 
-def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The suffix array of symbols (less than 512; the last, 0, is unique) by prefix doubling over the suffixes still tied, and the first sort's keys."""
+def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of symbols (less than 512; the last, 0, is unique) in the order of their first `depth` symbols, and the first sort's keys.
+
+    Prefix doubling over the suffixes still tied. Those tied at that depth stay in any order: they lie in the same intervals of all shorter strings, so the
+    expansion does not tell them apart.
+    """
     n = len(symbols)
     keys = np.zeros(n, np.uint64)
     padded = np.r_[symbols, np.zeros(PACKED, symbols.dtype)].astype(np.uint64)
     for k in range(PACKED):
         keys = keys << np.uint64(9) | padded[k : k + n]
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys).astype(np.int32)
     sorted_keys = keys[order]
     new = np.r_[True, sorted_keys[1:] != sorted_keys[:-1]]
     first_keys = sorted_keys
-    group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+    group = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), np.int32(0)))
+    rank = np.empty(n, np.int32)
     rank[order] = group
-    tied = np.flatnonzero(~(new & np.r_[new[1:], True]))
+    tied = np.flatnonzero(~(new & np.r_[new[1:], True])).astype(np.int32)
     h = PACKED
-    while len(tied):
+    while len(tied) and h < depth:
         at = order[tied]
-        second = rank[np.minimum(at + h, n - 1)]
-        by = np.lexsort((second, group[tied]))
-        at, second, g = at[by], second[by], group[tied][by]
+        key = group[tied].astype(np.int64) << 32 | rank[np.minimum(at + h, n - 1)]
+        by = np.argsort(key)
+        at, key = at[by], key[by]
         order[tied] = at
-        new = np.r_[True, (g[1:] != g[:-1]) | (second[1:] != second[:-1])]
-        g = np.maximum.accumulate(np.where(new, tied, 0))
+        new = np.r_[True, key[1:] != key[:-1]]
+        g = np.maximum.accumulate(np.where(new, tied, np.int32(0)))
         group[tied] = g
         rank[at] = g
         tied = tied[~(new & np.r_[new[1:], True])]
@@ -86,10 +91,10 @@ def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def shared_prefixes(symbols: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffix array and, for each of its places, whether the suffix there shares `window` symbols with the one before."""
     n = len(symbols)
-    order, keys = suffix_order(symbols)
+    order, keys = suffix_order(symbols, window)
     bwt = symbols[order - 1]
-    lf = np.empty(n, np.int64)  # from a suffix's place to that of the suffix one longer
-    lf[np.argsort(bwt, kind="stable")] = np.arange(n)
+    lf = np.empty(n, np.int32)  # from a suffix's place to that of the suffix one longer
+    lf[np.argsort(bwt, kind="stable")] = np.arange(n, dtype=np.int32)
     # common prefixes below PACKED, from the keys; unset: -1
     differ = keys[1:] ^ keys[:-1]
     some = differ != 0
@@ -132,94 +137,110 @@ def shared_prefixes(symbols: np.ndarray, window: int) -> tuple[np.ndarray, np.nd
 
 
 def repeated_windows(texts: list[bytes], counts: list[int], window: int) -> list[np.ndarray]:
-    """For each text, which of its windows also start elsewhere. counts: how often each text occurs. One BWT for all texts."""
-    parts, at = [], [0]
-    for t, c in zip(texts, counts):
-        for _ in range(min(c, 2)):  # two copies stand for all
-            parts.append(t)
-            at.append(at[-1] + len(t) + 1)
-    flat = np.frombuffer(b"\0".join(parts) + b"\0\0", np.uint8)
+    """For each of different texts, which of its windows also start elsewhere. counts: how often each text occurs. One BWT for all texts, each once: all
+    windows of a text that occurs twice are repeats, and what others share with it is seen in one copy too."""
+    at = np.r_[0, np.cumsum([len(t) + 1 for t in texts])]
+    flat = np.frombuffer(b"\0".join(texts) + b"\0\0", np.uint8)
     symbols = flat.astype(np.uint16) + np.uint16(2)
-    symbols[np.array(at[1:]) - 1] = 1
+    symbols[at[1:] - 1] = 1
     symbols[-1] = 0
     order, same = shared_prefixes(symbols, window)
     hit = np.zeros(len(symbols), bool)
     i = np.flatnonzero(same)
     hit[order[i]] = True
     hit[order[i - 1]] = True
-    out, k = [], 0
-    for t, c in zip(texts, counts):
-        out.append(hit[at[k] : at[k] + max(0, len(t) - window + 1)])
-        k += min(c, 2)
-    return out
+    spans = [max(0, len(t) - window + 1) for t in texts]
+    return [np.ones(n, bool) if c > 1 else hit[a : a + n] for a, n, c in zip(at.tolist(), spans, counts)]
 
 
-def _solve(frame: pd.DataFrame, window: int, local: int) -> pd.DataFrame:
+def _solve(frame: pd.DataFrame, window: int, local: int) -> Iterator[pd.DataFrame]:
     """Runs of repeated windows for whole groups of keys."""
     frame = frame.sort_values("key", kind="stable")
     code, distinct = pd.factorize(pd.MultiIndex.from_arrays([frame["key"], frame["content"]]))
-    counts = np.bincount(code)
+    places, row_of = unpacked(list(frame["places"]))
+    text_of = code[row_of]
+    counts = np.bincount(text_of, minlength=len(distinct))
     texts, keys = [x[1] for x in distinct], np.array([x[0] for x in distinct], np.int64)
     sizes = pd.Series(counts).groupby(keys).transform("sum").to_numpy()
-    hits: dict[int, np.ndarray] = {}
+    order = np.argsort(text_of, kind="stable")
+    bounds = np.searchsorted(text_of[order], np.arange(len(texts) + 1))
+    kinds = pd.Series(1, index=range(len(keys))).groupby(keys).transform("sum").to_numpy()
+
+    def runs(chosen: list[int], hits: list[np.ndarray]) -> pd.DataFrame:
+        doc, row, start, n = [], [], [], []
+        for i, hit in zip(chosen, hits):
+            edge = np.flatnonzero(np.diff(np.r_[0, hit.astype(np.int8), 0]))
+            at = places[order[bounds[i] : bounds[i + 1]]]
+            for a, b in zip(edge[::2], edge[1::2]):
+                doc.append(at[:, 0])
+                row.append(at[:, 1])
+                start.append(at[:, 2] + a)
+                n.append(np.full(len(at), b - a, np.int32))
+        none = [np.zeros(0, np.int64)]
+        return pd.DataFrame({"doc_id": np.concatenate(doc or none), "row_hash": np.concatenate(row or none), "start": np.concatenate(start or none), "windows": np.concatenate(n or none).astype(np.int32)})
+
+    # a key of one place has no repeat; of one text with several places, nothing but repeats; different texts of a key are compared, key by key
+    alike = np.flatnonzero((sizes > 1) & (kinds == 1)).tolist()
+    yield runs(alike, [np.ones(len(texts[i]) - window + 1, bool) for i in alike])
     batch: list[int] = []
     total = 0
-
-    def solve() -> None:
-        for i, hit in zip(batch, repeated_windows([texts[i] for i in batch], [int(counts[i]) for i in batch], window)):
-            hits[i] = hit
-
-    # a key without a second segment has no repeat; distinct segments come key by key
-    for i in np.flatnonzero(sizes > 1).tolist():
+    for i in np.flatnonzero(kinds > 1).tolist():
         if total >= local and keys[i] != keys[batch[-1]]:
-            solve()
+            yield runs(batch, repeated_windows([texts[j] for j in batch], [int(counts[j]) for j in batch], window))
             batch, total = [], 0
         batch.append(i)
-        total += len(texts[i]) * min(int(counts[i]), 2)
+        total += len(texts[i])
     if batch:
-        solve()
-    doc, row, start, n = [], [], [], []
-    for c, d, r, s in zip(code, frame["doc_id"].to_numpy(), frame["row_hash"].to_numpy(), frame["start"].to_numpy()):
-        hit = hits.get(c)
-        if hit is None or not hit.any():
-            continue
-        edge = np.flatnonzero(np.diff(np.r_[0, hit.astype(np.int8), 0]))
-        for a, b in zip(edge[::2], edge[1::2]):
-            doc.append(d)
-            row.append(r)
-            start.append(s + a)
-            n.append(b - a)
-    return pd.DataFrame({"doc_id": np.array(doc, np.int64), "row_hash": np.array(row, np.int64), "start": np.array(start, np.int64), "windows": np.array(n, np.int32)})
+        yield runs(batch, repeated_windows([texts[j] for j in batch], [int(counts[j]) for j in batch], window))
+
+
+HALF = SEGMENT + ", low int, high int"
 
 
 def _halves(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
-    """Each segment as two of half its windows, keyed by what all windows of a half have in common."""
+    """Each segment's windows of low <= symbols before the anchor < high as two of half that range, keyed by what all windows of such a range have in common."""
     for pdf, texts in in_chunks(batches, "content"):
         out = []
-        for doc_id, row, start, n, content in zip(pdf["doc_id"], pdf["row_hash"], pdf["start"], pdf["windows"], texts):
-            for a, b in ((0, (n + 1) // 2), ((n + 1) // 2, n)) if n > 1 else ((0, 1),):
-                if b > a:
-                    key = hashlib.blake2b(content[b - 1 : a + window], digest_size=8, person=(b - a).to_bytes(8, "little")).digest()
-                    out.append((int.from_bytes(key, "little", signed=True), doc_id, row, start + a, b - a, content[a : b - 1 + window]))
-        yield pd.DataFrame(out, columns=[x.split()[0] for x in SEGMENT.split(", ")])
-
-
-def _part_hot(hot_rows: DataFrame, window: int, most: int) -> tuple[DataFrame, list[DataFrame]]:
+        for n, lead, low, high, content, places in zip(pdf["windows"].tolist(), pdf["lead"].tolist(), pdf["low"].tolist(), pdf["high"].tolist(), texts, pdf["places"]):
+            middle = (low + high + 1) // 2
+            for a, b in ((low, middle), (middle, high)):
+                # the segment has the windows of lead, lead - 1, ... lead - n + 1 symbols before the anchor
+                first, last = min(lead, b - 1), max(lead - n + 1, a)
+                if first < last:
+                    continue
+                skip, k = lead - first, first - last + 1
+                shared = content[lead - a : lead - b + 1 + window]
+                key = hashlib.blake2b(shared, digest_size=8, person=a.to_bytes(4, "little") + b.to_bytes(4, "little")).digest()
+                moved = np.frombuffer(places, np.int64).reshape(-1, 3) + np.array([0, 0, skip])
+                out.append((int.from_bytes(key, "little", signed=True), k, first, content[skip : skip + k - 1 + window], moved.tobytes(), a, b))
+        yield pd.DataFrame(out, columns=[x.split()[0] for x in HALF.split(", ")])
+
+
+def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A run for each place."""
+    for pdf in batches:
+        places, row_of = unpacked(list(pdf["places"]))
+        yield pd.DataFrame({"doc_id": places[:, 0], "row_hash": places[:, 1], "start": places[:, 2], "windows": pdf["windows"].to_numpy()[row_of].astype(np.int32)})
+
+
+def _part_hot(hot_rows: DataFrame, window: int, gram: int, most: int) -> tuple[list[DataFrame], list[DataFrame]]:
     """Segments of groups small enough for a task, and runs of single windows that repeat."""
-    small, runs, todo = [], [], hot_rows
+    small, runs = [], []
+    names = [x.split()[0] for x in SEGMENT.split(", ")]
+    todo = hot_rows.withColumns({"low": F.lit(0), "high": F.lit(window - gram + 1)})
     while True:
-        halves = written(todo.mapInPandas(lambda b: _halves(b, window), SEGMENT), "halves")
-        counts = written(halves.groupBy("key").agg(F.count("*").alias("n"), F.max("windows").alias("widest")).filter("n > 1"), "half-counts")
-        known = lookup(halves, counts, "key", "n").filter("n is not null")
-        # a key of single windows is the whole window: all its occurrences are repeats
-        runs.append(known.filter("widest = 1").select("doc_id", "row_hash", "start", "windows"))
-        small.append(known.filter(f"widest > 1 and n <= {most}").drop("n", "widest"))
-        todo = written(known.filter(f"widest > 1 and n > {most}").drop("n", "widest"), "still-hot")
+        halves = written(todo.mapInPandas(lambda b: _halves(b, window), HALF), "halves")
+        counts = halves.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("places") / 24).alias("k")).filter("k > 1")
+        known = lookup(halves, written(counts, "half-counts"), "key", "n").filter("n is not null")
+        # a range of one window shares all of it: its occurrences are repeats
+        runs.append(known.filter("high - low = 1").select(*names).mapInPandas(_spread, RUN))
+        small.append(known.filter(f"high - low > 1 and n <= {most}").select(*names))
+        todo = written(known.filter(f"high - low > 1 and n > {most}").select(*names, "low", "high"), "still-hot")
         if not todo.limit(1).count():
             return small, runs
 
 
-def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 1000, max_bits: int = 27, local: int = 1 << 20) -> DataFrame:
+def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 1000, max_bits: int = 27, local: int = 1 << 18) -> DataFrame:
     """doc_id, row_hash, start, windows: runs of windows that start elsewhere too. rows: as suffix_trees.row_key gives them."""
     find = ByteSegments(window, gram)
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -228,23 +249,23 @@ def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 1000, max_
     def cut(hot_ones: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf, texts in in_chunks(batches, "text"):
-                text, start, n, key, data, at = find(texts)
-                is_hot = held.test("hot", key)
-                keep = np.flatnonzero(is_hot if hot_ones else held.test("twice", key) & ~is_hot)
-                text, start, n, key, raw = text[keep], start[keep], n[keep], key[keep], data.tobytes()
-                yield pd.DataFrame({"key": key.view(np.int64), "doc_id": pdf["doc_id"].to_numpy()[text], "row_hash": pdf["row_hash"].to_numpy()[text], "start": start - at[text], "windows": n.astype(np.int32),
-                                    "content": [raw[i:j] for i, j in zip(start.tolist(), (start + n - 1 + window).tolist())]})
+                *parts, data, at = find(texts)
+                is_hot = held.test("hot", parts[3])
+                keep = np.flatnonzero(is_hot if hot_ones else held.test("twice", parts[3]) & ~is_hot)
+                text, start, n, key, lead, content = (x[keep] for x in parts)
+                raw, a, b = data.tobytes(), start.tolist(), (start + n - 1 + window).tolist()
+                yield packed(pdf, text, start - at[text], n, key, lead, content, lambda i: raw[a[i] : b[i]])
 
         return run
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in groups_of(batches, ["key"], 4096):
-            yield _solve(frame, window, local)
+        for frame in groups_of(batches, ["key"], 2048):
+            yield from _solve(frame, window, local)
 
     cold = rows.mapInPandas(cut(False), SEGMENT)
     runs: list[DataFrame] = []
     if held.any_hot:
-        small, runs = _part_hot(rows.mapInPandas(cut(True), SEGMENT), window, hot)
+        small, runs = _part_hot(rows.mapInPandas(cut(True), SEGMENT), window, gram, hot)
         for part in small:
             cold = cold.unionByName(part)
     found = cold.repartition("key").sortWithinPartitions("key").mapInPandas(solve, RUN)
