@@ -18,14 +18,19 @@ from ..functions.scalars import finite
 from ..sources.schemas import numeric_columns
 from . import metrics, sampling, splits
 
-#: Columns whose names hold one of these are no features of the anomaly stage (fixed values).
-NOT_FEATURES = ["account", "bank", "timestamp", "laundering", "entity", "hashed", "split", "txn_id"]
-#: Columns that are 0, not average, where a window has no rows yet (fixed values).
-ZERO_FILLED = ["std_amount_paid_28d", "counterparty_entropy_28d", "burst_score_1h", "toxic_corridor_count_28d", "toxic_corridor_volume_28d", "corridor_std_amount_28d"]
+#: Columns whose names hold one of these, in any case, are no features.
+NOT_FEATURES = ["Is Laundering", "is_laundering", "Account_HASHED", "Account", "account_id", "transaction_id", "tx_id", "Timestamp", "timestamp", "Date", "date"]
+#: Our own tie-breaker is no feature either.
+OWN_IDS = ["txn_id"]
+#: Columns that are 0, not average, where they are missing.
+ZERO_FILLED = [
+    "burst_score_1h", "burst_count_24h", "txn_in_hour", "toxic_corridor_count_28d", "toxic_corridor_volume_28d", "txn_count_28d", "txn_count_total", "total_amount_paid_28d", "total_amount_received_28d",
+    "amount_paid_last_100", "flag_high_burst", "flag_large_gap", "flag_extreme_consistency", "flag_high_concentration", "flag_heavy_structuring", "anomaly_cascade_score", "cascade_frequency_28d",
+]
 
 
 def feature_columns(df: DataFrame, label: str = "Is Laundering") -> list[str]:
-    found = numeric_columns(df, [label], NOT_FEATURES)
+    found = numeric_columns(df, [label], NOT_FEATURES + OWN_IDS)
     if not found:
         raise ValueError("no usable numeric feature")
     return found
