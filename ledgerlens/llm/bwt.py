@@ -7,7 +7,7 @@ the interval of a string w is extended backward by each byte; the extension's ri
 further only then. So values come in increasing order, level by level, and the expansion stops at `window`: an edge without a value by then parts suffixes that
 share `window` bytes. Levels below the bytes packed for the first sort are read off that sort.
 
-Segments of hot anchors, of more than `hot` occurrences, are halved until each half's own common part parts them, or a single window is left, whose occurrences
+Segments of hot anchors, of more than `hot` different ones, are divided until each division's own common part tells them apart, or a single window is left, whose occurrences
 need only be counted; so no group outgrows a task.
 
 Defined cases: null text is empty; texts shorter than a window have nothing to remove; of a character's bytes some may go (kept bytes are hashed as they are; `dedup_texts`
@@ -195,15 +195,16 @@ def _solve(frame: pd.DataFrame, window: int, local: int) -> Iterator[pd.DataFram
 
 
 HALF = SEGMENT + ", low int, high int"
+PARTS = 4
 
 
-def _halves(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
-    """Each segment's windows of low <= symbols before the anchor < high as two of half that range, keyed by what all windows of such a range have in common."""
+def _parted(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
+    """Each segment's windows of low <= symbols before the anchor < high as PARTS of a part of that range, keyed by what all windows of such a part have in common."""
     for pdf, texts in in_chunks(batches, "content"):
         out = []
         for n, lead, low, high, content, places in zip(pdf["windows"].tolist(), pdf["lead"].tolist(), pdf["low"].tolist(), pdf["high"].tolist(), texts, pdf["places"]):
-            middle = (low + high + 1) // 2
-            for a, b in ((low, middle), (middle, high)):
+            edges = sorted({low + (high - low) * i // PARTS for i in range(PARTS + 1)})
+            for a, b in zip(edges, edges[1:]):
                 # the segment has the windows of lead, lead - 1, ... lead - n + 1 symbols before the anchor
                 first, last = min(lead, b - 1), max(lead - n + 1, a)
                 if first < last:
@@ -229,9 +230,9 @@ def _part_hot(hot_rows: DataFrame, window: int, gram: int, most: int) -> tuple[l
     names = [x.split()[0] for x in SEGMENT.split(", ")]
     todo = hot_rows.withColumns({"low": F.lit(0), "high": F.lit(window - gram + 1)})
     while True:
-        halves = written(todo.mapInPandas(lambda b: _halves(b, window), HALF), "halves")
-        counts = halves.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("places") / 24).alias("k")).filter("k > 1")
-        known = lookup(halves, written(counts, "half-counts"), "key", "n").filter("n is not null")
+        parts = written(todo.mapInPandas(lambda b: _parted(b, window), HALF), "parts")
+        counts = parts.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("places") / 24).alias("k")).filter("k > 1")
+        known = lookup(parts, written(counts, "part-counts"), "key", "n").filter("n is not null")
         # a range of one window shares all of it: its occurrences are repeats
         runs.append(known.filter("high - low = 1").select(*names).mapInPandas(_spread, RUN))
         small.append(known.filter(f"high - low > 1 and n <= {most}").select(*names))

@@ -28,7 +28,7 @@ _tables = Cache()
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """B**i, B**-i for i up to n, and the table T."""
     if len(_tables.get("up", ())) <= n:
-        size = max(n + 1, 1 << 20)
+        size = max(n + 1, 1 << 19)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             row = np.full(size, base, np.uint64)
             row[0] = 1
@@ -85,18 +85,19 @@ class Words:
         self.hash = RangeHash(self.data)(self.start, self.end)
 
 
-def in_chunks(batches: Iterable[pd.DataFrame], column: str, most: int = 1 << 20) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
-    """Rows in chunks of about `most` bytes of text (one row at least), with their texts as UTF-8; null is empty."""
+def in_chunks(batches: Iterable[pd.DataFrame], column: str, most: int = 1 << 19) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
+    """Rows in chunks of about `most` bytes of text (one row at least), with their texts as UTF-8; null is empty. One chunk is encoded at a time."""
     for pdf in batches:
-        texts = [t.encode() if isinstance(t, str) else bytes(t) if t is not None else b"" for t in pdf[column]]
-        sizes, start, total = [len(t) + 1 for t in texts], 0, 0
-        for i, n in enumerate(sizes):
-            if total and total + n > most:
-                yield pdf.iloc[start:i], texts[start:i]
-                start, total = i, 0
-            total += n
-        if total:
-            yield pdf.iloc[start:], texts[start:]
+        start, total, texts = 0, 0, []
+        for i, t in enumerate(pdf[column]):
+            data = t.encode() if isinstance(t, str) else bytes(t) if t is not None else b""
+            if texts and total + len(data) > most:
+                yield pdf.iloc[start:i], texts
+                start, total, texts = i, 0, []
+            texts.append(data)
+            total += len(data) + 1
+        if texts:
+            yield pdf.iloc[start:], texts
 
 
 def groups_of(batches: Iterable[pd.DataFrame], keys: list[str], most: int = 1 << 16) -> Iterator[pd.DataFrame]:
