@@ -373,6 +373,52 @@ def test_fingerprints_keep_small_edits_close(spark):
     assert {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
 
 
+def edits(text: str, n: int, rng: random.Random) -> str:
+    """The text after n edits at places drawn over the whole of it."""
+    out = list(text)
+    for _ in range(n):
+        at, kind = rng.randrange(len(out)), rng.randrange(3)
+        out[at : at + (kind < 2)] = [rng.choice("xyzé")] if kind else []
+    return "".join(out)
+
+
+def edit_distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def edit_components(rows: list[tuple], share: float) -> dict:
+    name = {i: i for i, _ in rows}
+    for i, a in rows:
+        for j, b in rows:
+            if i < j and edit_distance(a, b) <= share * max(len(a), len(b)):
+                low, high = sorted((name[i], name[j]))
+                name = {k: low if v == high else v for k, v in name.items()}
+    return name
+
+
+def test_near_copies_find_scattered_edits(spark):
+    """Every pair up to the promised distance, whatever its fingerprints are like."""
+    rng = random.Random(5)
+    rows = [(90, "abc"), (91, "abd"), (92, "abcdefghij"), (93, "abcdefghXY"), (94, ""), (95, "a"), (96, "é" * 70), (97, "")]
+    for k, part in enumerate((0.005, 0.02, 0.05, 0.1, 0.15, 0.19, 0.25, 0.4)):
+        text = "".join(rng.choices("abcdefgh ", k=300 + 10 * k))
+        rows += [(2 * k, text), (2 * k + 1, edits(text, int(part * len(text)), rng))]
+    want = edit_components(rows, 0.2)
+    assert want[11] == 10 and want[15] == 15
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for chars in (4_000_000, 1):
+        assert {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(df, block_chars=chars).collect()} == want
+    for _ in range(300):
+        a, b = ("".join(rng.choices("abé", k=rng.randrange(90))) for _ in range(2))
+        most = rng.randrange(60)
+        assert edit_embedding.within(a, b, most) == (edit_distance(a, b) <= most)
+
+
 # --- packing
 
 
