@@ -419,6 +419,19 @@ def test_near_copies_find_scattered_edits(spark):
         assert edit_embedding.within(a, b, most) == (edit_distance(a, b) <= most)
 
 
+def test_near_copies_behind_a_head_unlike_them(spark):
+    """The only bucket of two near texts has a third, unlike them, as its least id."""
+    rng, alike = random.Random(6), edit_embedding.likeness
+    while True:
+        a, b = ("".join(rng.choices("abcdefgh", k=200)) for _ in range(2))
+        c = b[:150] + "Z" + b[151:]
+        p = edit_embedding.fingerprints([a, b, c])
+        if p[0, 0] == p[1, 0] == p[2, 0] and alike(p[1], p[2]) >= 0.5 > max(alike(p[0], p[1]), alike(p[0], p[2])):
+            break
+    df = spark.createDataFrame([(0, a), (1, b), (2, c)], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(df, bands=1, band_samples=1).collect()} == {0: 0, 1: 1, 2: 1}
+
+
 # --- packing
 
 
