@@ -99,11 +99,49 @@ def draw_combinations(grid: dict[str, list], n: int = 10, seed: int = 42) -> lis
     return random.Random(seed).sample(every, min(n, len(every)))
 
 
-def smote(df: DataFrame, label: str, columns: list[str], ratio: float = 1.0, k: int = 5, key: str = "txn_id", seed: int = 42, most_base: int = 20_000) -> DataFrame:
+def nearest(points: DataFrame, k: int, block: int = 8192) -> DataFrame:
+    """points: id (0, 1, ...), point (array). Returns id, near: the points of the k nearest other rows, nearest first, ties by id.
+
+    Every row is compared with every other, a pair of blocks at a time; a task holds two blocks.
+    """
+    import numpy as np
+    import pandas as pd
+
+    blocks = -(-points.count() // block)
+    others = F.explode(F.sequence(F.lit(0), F.lit(max(0, blocks - 1))))
+    own = points.withColumn("own", F.pmod("id", F.lit(max(1, blocks))).cast("int"))
+    asked, told = own.withColumn("other", others).withColumn("asks", F.lit(True)), own.withColumnRenamed("own", "other").withColumn("own", others).withColumn("asks", F.lit(False))
+
+    def search(part: pd.DataFrame) -> pd.DataFrame:
+        one, two = part[part["asks"]], part[~part["asks"]]
+        out = {"id": [], "distance": [], "other_id": [], "point": []}
+        if len(one) and len(two):
+            x, y = np.stack(one["point"]), np.stack(two["point"])
+            ids, names = one["id"].to_numpy(), two["id"].to_numpy()
+            for start in range(0, len(x), 256):
+                here = slice(start, start + 256)
+                d = sum((x[here, f, None] - y[None, :, f]) ** 2 for f in range(x.shape[1]))
+                d[np.isnan(d)] = np.inf
+                d[ids[here, None] == names[None]] = -1.0  # the row itself
+                least = np.partition(d, min(k, len(y) - 1), axis=1)[:, min(k, len(y) - 1), None]
+                row, col = np.nonzero((d <= least) & (d >= 0))
+                order = np.lexsort((names[col], d[row, col], row))
+                row, col = row[order], col[order]
+                rank = np.arange(len(row)) - np.searchsorted(row, row)
+                row, col = row[rank < k], col[rank < k]
+                out["id"].extend(ids[here][row]), out["distance"].extend(d[row, col]), out["other_id"].extend(names[col]), out["point"].extend(y[col])
+        return pd.DataFrame(out)
+
+    found = asked.unionByName(told).groupBy("own", "other").applyInPandas(search, "id long, distance double, other_id long, point array<double>")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("distance", "other_id"))).filter(F.col("rank") <= k)
+    return ranked.groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "point"))), lambda p: p["point"]).alias("near"))
+
+
+def smote(df: DataFrame, label: str, columns: list[str], ratio: float = 1.0, k: int = 5, key: str = "txn_id", seed: int = 42) -> DataFrame:
     """Synthetic rows of the smaller class, each between a row and one of its k nearest neighbours (Chawla et al. 2002).
 
-    Neighbours are searched among at most most_base rows of that class, a sample of a stated size that every task gets; columns other than label, key and features
-    are null in synthetic rows, and their keys are negative.
+    Every row of that class is a base point, as often as any other give or take one, and neighbours are searched exactly among all of them; the work grows with
+    the square of their number. Columns other than label, key and features are null in synthetic rows, and their keys are negative.
     """
     import numpy as np
     import pandas as pd
@@ -112,30 +150,27 @@ def smote(df: DataFrame, label: str, columns: list[str], ratio: float = 1.0, k:
     if len(counts) < 2:
         return df
     small = min(counts, key=lambda c: (counts[c], c))
-    wanted = int(max(counts.values()) * ratio) - counts[small]
+    n = counts[small]
+    wanted = int(max(counts.values()) * ratio) - n
     if wanted <= 0:
         return df
-    minority = df.filter(F.col(label) == small).select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    base = sample_rows(minority, most_base, key, seed).toPandas().sort_values(key)
-    held = df.sparkSession.sparkContext.broadcast(base[columns].to_numpy(float))
-    n, schema = len(base), f"id long, {', '.join(f'`{c}` double' for c in columns)}"
-    per = -(-wanted // max(1, n))
+    point = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in columns])
+    minority = df.filter(F.col(label).eqNullSafe(F.lit(small))).orderBy(draw(key, seed), key).select(point.alias("point"))
+    points = df.sparkSession.createDataFrame(minority.rdd.zipWithIndex().map(lambda r: (r[1], r[0]["point"])), "id long, point array<double>").persist()
+    # synthetic row i has base row i % n
+    turns = F.sequence(F.col("id"), F.lit(wanted - 1).cast("long"), F.lit(n).cast("long"))
+    dealt = points.filter(F.col("id") < wanted).join(nearest(points, k), "id", "left").withColumn("i", F.explode(turns))
 
     def run(batches):
-        points = held.value
         for pdf in batches:
             out = []
-            for i in pdf["id"]:
-                i = int(i)
+            for i, here, near in zip(pdf["i"], pdf["point"], pdf["near"]):
                 rng = np.random.default_rng(seed * 1_000_003 + i)
-                here = points[i // per % n]
-                d = ((points - here) ** 2).sum(1)
-                near = np.argsort(d, kind="stable")[1 : k + 1]
-                other = points[near[rng.integers(len(near))]] if len(near) else here
+                other = near[rng.integers(len(near))] if near is not None else here
                 out.append((-(i + 1), *(here + rng.random() * (other - here))))
             yield pd.DataFrame(out, columns=["id", *columns])
 
-    made = df.sparkSession.range(wanted).mapInPandas(run, schema)
+    made = dealt.select("i", "point", "near").mapInPandas(run, f"id long, {', '.join(f'`{c}` double' for c in columns)}")
     kinds = dict(df.dtypes)
     made = made.select(F.col("id").cast(kinds[key]).alias(key), F.lit(small).cast(kinds[label]).alias(label), *[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in columns])
     return df.unionByName(made, allowMissingColumns=True)

@@ -70,6 +70,23 @@ def test_samples(spark, scored):
     assert made.filter("txn_id < 0").filter(~F.col("score").between(*bounds)).count() == 0
 
 
+def test_smote_uses_every_row(spark):
+    """20,500 rows in groups of five, far apart: each group gets as many synthetic rows as it has rows, all inside it."""
+    few = spark.range(20_500).selectExpr("id AS txn_id", "1 AS label", "(id div 5) * 1000.0 + id % 5 AS x")
+    df = few.unionByName(spark.range(20_500, 61_500).selectExpr("id AS txn_id", "0 AS label", "-1.0 AS x"))
+    made = sampling.smote(df, "label", ["x"], k=4).filter("txn_id < 0").toPandas()
+    inside = made["x"] % 1000
+    assert inside.between(0, 4).all() and ((made["x"] // 1000).value_counts() == 5).all() and len(made) == 20_500
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(size=(60, 2)), 1)
+    got = sampling.nearest(spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, point array<double>"), 3, block=7).collect()
+    for r in got:
+        d = ((x - x[r["id"]]) ** 2).sum(1)
+        d[r["id"]] = np.inf
+        assert np.array(r["near"]) == pytest.approx(x[np.lexsort((np.arange(60), d))[:3]])
+    assert len(got) == 60
+
+
 def test_fusion(spark, scored):
     best = metrics.best_fusion(metrics.fusion_grid(scored), 0.3)
     assert len(best) == 3 and metrics.best_fusion(metrics.fusion_grid(scored), -1) == metrics.FUSION_DEFAULT
