@@ -385,7 +385,7 @@ def _model_compare(t: DataFrame) -> DataFrame:
 def _shap(t: DataFrame) -> DataFrame:
     train, test, columns = _parts(t)
     model = learning.build(learning.make("random_forest", trees=5, depth=4), columns).fit(learning.with_weights(train, 5.0)).stages[-1]
-    return explain.global_importance(explain.shap_values(sampling.sample_rows(test, 1000), model, columns), columns)
+    return explain.global_importance(explain.shap_values(test, model, columns), columns)
 
 
 @_txn("smote", None)

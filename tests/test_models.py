@@ -87,6 +87,14 @@ def test_smote_uses_every_row(spark):
     assert len(got) == 60
 
 
+def test_shap_importance_explains_the_whole_test_part(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(explain, "shap_values", lambda df, *a, values=explain.shap_values: seen.append(df.count()) or values(df, *a))
+    catalogue.queries()["shap_importance"](spark, "/root/testdata/sf0.01")
+    counts = sampling.class_counts(catalogue.transactions(spark, "/root/testdata/sf0.01"), "Is Laundering")
+    assert seen == [sum(int(n * 0.3 + 0.5) for n in counts.values())]
+
+
 def test_fusion(spark, scored):
     best = metrics.best_fusion(metrics.fusion_grid(scored), 0.3)
     assert len(best) == 3 and metrics.best_fusion(metrics.fusion_grid(scored), -1) == metrics.FUSION_DEFAULT
