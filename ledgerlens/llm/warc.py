@@ -10,7 +10,7 @@ smaller payloads are always responses. A revisit has the HTTP head only, whose C
 
 Defined cases: null html is an empty payload, null URL an empty one; control characters and spaces in a URL are percent-encoded; a null
 page_id is never a response that others refer to unless all copies have null ids (then all are responses); repeated rows with one page_id
-give a response each; an empty table gives an empty index; other columns are ignored.
+give a record each, by its own payload; an empty table gives an empty index; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def decide(pages: DataFrame, least: int = 1000) -> DataFrame:
     narrow = written(pages.select("page_id", F.sha1(html).alias("payload_digest"), F.octet_length(html).alias("n")).filter(F.col("n") >= least).drop("n"), "digests")
     groups = written(narrow.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies")).filter("copies > 1"), "digest-groups")
     found = lookup(narrow, groups, "payload_digest", "copies")
-    return found.filter("refers_to is not null and not (page_id <=> refers_to)").select("page_id", "refers_to").dropDuplicates(["page_id"])
+    return found.filter("refers_to is not null and not (page_id <=> refers_to)").select("page_id", "payload_digest", "refers_to").dropDuplicates(["page_id", "payload_digest"])
 
 
 def _url(url: str | None) -> str:
@@ -87,7 +87,9 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 100
     """Writes every page (page_id, url, html) and returns the index, written beside the archives."""
     folder = folder or new_path(pages.sparkSession, "warc")
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    rows = rows.join(decide(rows, least), "page_id", "left")
+    # a decision is of a page and its payload: rows of one page_id may differ in html
+    digest = F.sha1(F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8"))
+    rows = rows.withColumn("payload_digest", digest).join(decide(rows, least), ["page_id", "payload_digest"], "left").drop("payload_digest")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs

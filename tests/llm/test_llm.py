@@ -252,6 +252,14 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_keeps_both_payloads_of_a_repeated_page(spark):
+    """Two rows of page 1: one copies page 9, the other's payload is found nowhere else and must be in an archive."""
+    pages = [(1, "u", "x" * 2000), (1, "u", "y" * 2000), (9, "v", "x" * 2000)]
+    read = warc.read_records(warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"))).collect()
+    got = sorted((r["page_id"], r["record_type"], r["refers_to"] or 0, bytes(r["payload"] or b"")[:1]) for r in read)
+    assert got == [(1, "response", 0, b"y"), (1, "revisit", 9, b""), (9, "response", 0, b"x")]
+
+
 def test_ranges_are_coalesced():
     assert warc.coalesce_ranges([(0, 10), (10, 5), (30, 5), (1000, 50)], gap=20, most=100) == [[0, 1, 2], [3]]
     assert warc.coalesce_ranges([(0, 90), (90, 90)], gap=20, most=100) == [[0], [1]]
