@@ -363,7 +363,7 @@ def _parts(t: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
 @_txn("iforest_score", None, ["anomaly_score"])
 def _iforest(t: DataFrame) -> DataFrame:
     rows, columns = model_rows(t)
-    return iforest.score(rows, iforest.fit(rows.filter("label = 0"), columns, trees=50, max_samples=256))
+    return iforest.score(rows, iforest.fit(rows.filter("label = 0"), columns))
 
 
 @_txn("platt", None)
@@ -376,8 +376,7 @@ def _platt(t: DataFrame) -> DataFrame:
 @_txn("model_compare", None)
 def _model_compare(t: DataFrame) -> DataFrame:
     train, test, columns = _parts(t)
-    small = {"random_forest": {"trees": 10, "depth": 4}}
-    log = learning.experiments(train, test, columns, balancing=["none", "class_weight"], draws=1, settings=small)
+    log = learning.experiments(train, test, columns)
     return t.sparkSession.createDataFrame([(r["phase"], r["balancing_method"], r["model_name"], r["params"], r["pr_auc"], r["roc_auc"], r["status"]) for r in log], "phase int, balancing string, model string, params string, pr_auc double, roc_auc double, status string")
 
 

@@ -95,6 +95,16 @@ def test_shap_importance_explains_the_whole_test_part(spark, monkeypatch):
     assert seen == [sum(int(n * 0.3 + 0.5) for n in counts.values())]
 
 
+def test_registered_models_have_the_published_settings(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(iforest, "score", lambda df, forest: seen.update(forest=forest) or df.withColumn("anomaly_score", F.lit(0.5)))
+    monkeypatch.setattr(learning, "experiments", lambda train, test, columns, **options: seen.update(options=options) or [])
+    catalogue.queries()["iforest_score"](spark, "/root/testdata/sf0.01")
+    catalogue.queries()["model_compare"](spark, "/root/testdata/sf0.01")
+    legit = sampling.class_counts(catalogue.transactions(spark, "/root/testdata/sf0.01"), "Is Laundering")[0]
+    assert len(seen["forest"].trees) == 200 and seen["forest"].samples == min(10_050, legit) and seen["options"] == {}
+
+
 def test_fusion(spark, scored):
     best = metrics.best_fusion(metrics.fusion_grid(scored), 0.3)
     assert len(best) == 3 and metrics.best_fusion(metrics.fusion_grid(scored), -1) == metrics.FUSION_DEFAULT
