@@ -15,11 +15,11 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, free_name, written
+from .common import WORD, as_text, free_name, written
 
 BINS = 16384
 
@@ -48,7 +48,11 @@ def source_targets(sizes: DataFrame, weights: list[int], max_epochs: int) -> Dat
 
 
 def mix(rows: DataFrame, weights: list[int] | None = None, max_epochs: int = 3, seed: int = 42, slices: int = 1024) -> DataFrame:
-    """rows: doc_id, source, size. Returns them with source_size, target and taken (tokens the mix takes, repeats counted)."""
+    """rows: doc_id, source, size. Returns them with source_size, target and taken (tokens the mix takes, repeats counted).
+
+    A column `mark`, where there is one, breaks the ties of rows of equal doc_id and size and is handed on.
+    """
+    mark = ["mark"] if "mark" in rows.columns else []
     weights = weights or [1, 2, 3]
     # null sources sort last: every other key starts with a 0
     keyed = rows.withColumns({"source_key": F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source").cast("string"))), "h": F.xxhash64(F.col("doc_id"), F.lit(seed))})
@@ -57,7 +61,7 @@ def mix(rows: DataFrame, weights: list[int] | None = None, max_epochs: int = 3,
     targets = source_targets(sums.groupBy("source_key").agg(F.sum("n").alias("source_size")), weights, max_epochs)
     earlier = Window.partitionBy("source_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n").join(targets, "source_key")
-    own = Window.partitionBy("source_key", "slice").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    own = Window.partitionBy("source_key", "slice").orderBy("h", "doc_id", "size", *mark).rowsBetween(Window.unboundedPreceding, 0)
     placed = keyed.withColumn("cum", F.sum("size").over(own)).join(starts, ["source_key", "slice"])
     placed = written(placed.withColumn("cum", F.col("cum") + F.col("start")).drop("start", "slice"), "queued")
     # a copy's place in the mix; times are in units of targets, so the cut is at 1, give or take a document for each source
@@ -83,13 +87,13 @@ def mix(rows: DataFrame, weights: list[int] | None = None, max_epochs: int = 3,
             cut = F.struct(F.lit(last["finish"]).alias("finish"), F.lit(last["source_key"]).alias("source_key"), F.lit(last["epoch"]).cast("long").alias("epoch"), F.lit(last["cum"]).cast("long").alias("cum"))
             count = sum((key(F.lit(e)) <= cut).cast("long") for e in range(max_epochs))
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), F.col("size") * count).otherwise(F.lit(0)).cast("long")
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *mark)
 
 
-def word_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size in words for every row."""
+def word_sizes(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, source, size in words and the columns of `more` for every row."""
     size = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD))
-    return docs.select("doc_id", "source", size.cast("long").alias("size"))
+    return docs.select("doc_id", "source", size.cast("long").alias("size"), *more)
 
 
 def mix_documents(docs: DataFrame, weights: list[int] | None = None, max_epochs: int = 3, seed: int = 42) -> DataFrame:
@@ -97,9 +101,15 @@ def mix_documents(docs: DataFrame, weights: list[int] | None = None, max_epochs:
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """docs as the mix has them: a row as often as it is taken, all columns kept. Rows of one id are taken equally often."""
+    """docs as the mix has them: a row as often as it is taken, all columns kept. Rows of one id are taken equally often; rows of null ids each as the mix says."""
     mark, times = free_name(docs, "mixed_id"), free_name(docs, "times")
-    taken = mix_documents(docs, **options).filter("taken > 0 and doc_id is not null")
-    counts = taken.groupBy(F.col("doc_id").alias(mark)).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias(times))
-    joined = docs.join(counts, F.col("doc_id") == F.col(mark))
-    return joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    # rows of null ids are told apart by their text and a number that is written down with them
+    unnamed = docs.filter("doc_id is null").withColumn(mark, F.concat(F.sha2(as_text(docs, "text").cast("binary"), 256), F.lit("-"), F.monotonically_increasing_id().cast("string")))
+    unnamed = written(unnamed, "unnamed")
+    sizes = word_sizes(docs.filter("doc_id is not null")).withColumn("mark", F.lit(None).cast("string")).unionByName(word_sizes(unnamed, F.col(mark).alias("mark")))
+    taken = mix(written(sizes, "word-sizes"), **options).filter("taken > 0")
+    often = (F.col("taken") / F.col("size")).cast("int")
+    counts = taken.filter("doc_id is not null").groupBy(F.col("doc_id").alias(mark)).agg(F.max(often).alias(times))
+    named = docs.join(counts, F.col("doc_id") == F.col(mark)).drop(mark)
+    others = unnamed.join(taken.filter("doc_id is null").select(F.col("mark").alias(mark), often.alias(times)), mark).drop(mark)
+    return named.unionByName(others).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

@@ -231,6 +231,18 @@ def test_mix(docs, rows, empty):
     assert mixed == Counter({i: got[i]["taken"] // sizes[i] for i in sizes if got[i]["taken"]})
 
 
+def test_mixed_rows_keep_null_ids(spark):
+    """Rows of null ids come out as often as the mix takes them, with their own columns."""
+    rows = [(None, f"word {'x ' * i}", f"s{i % 2}", i) for i in range(1, 9)] + [(None, "twice over", "s0", 50), (None, "twice over", "s0", 51)] + [(i, "a b c", "s1", 100 + i) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(3)
+    out = mixing.mixed_rows(df)
+    got, taken = out.collect(), mixing.mix_documents(df).collect()
+    size = {r[3]: len(WORD.findall(r[1])) for r in rows}
+    assert out.columns == df.columns and {tuple(r) for r in got} <= set(rows)
+    for null in (True, False):
+        assert sum(size[r["n_chars"]] for r in got if (r["doc_id"] is None) == null) == sum(r["taken"] for r in taken if (r["doc_id"] is None) == null) > 0
+
+
 # --- WARC
 
 
