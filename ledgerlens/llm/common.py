@@ -8,7 +8,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -17,10 +16,12 @@ _own: dict[int, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or in local mode, where that is unset (tests), a temporary one."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = id(spark.sparkContext)
     if key not in _own:
         _own[key] = "file://" + tempfile.mkdtemp(prefix="ledgerlens-")
@@ -50,6 +51,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_keys(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Column, Column]:
+    """(id, hash): two longs that tell rows apart and are never null, so that pandas keeps them exact. A null id is 0 with an odd hash; other hashes are even."""
+    null = F.col(id_col).isNull()
+    hashed = F.xxhash64(as_text(df, text_col)).bitwiseAND(F.lit(-2)).bitwiseOR(null.cast("long"))
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")), hashed
+
+
+def null_again(row_id: str, row_hash: str) -> Column:
+    """The id of a row from its keys."""
+    return F.when(F.col(row_hash).bitwiseAND(F.lit(1)) == 0, F.col(row_id))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, or name with underscores after it if df has such a column already (names compare without case)."""
     taken = {c.lower() for c in df.columns}
@@ -91,7 +104,3 @@ def as_text(df: DataFrame, column: str) -> Column:
 
 def partitions_for(total_bytes: int, each: int = 24 << 20, least: int = 1) -> int:
     return max(least, -(-int(total_bytes) // each))
-
-
-def long_type(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.LongType)
