@@ -2,14 +2,17 @@
 
 Texts of one shingle set are one class first, so exact copies cost one row. Each class has `hashes` minima; `hashes / rows` bands of `rows` minima
 each bring together classes that share a band. With 32 bands of 4, a pair of similarity 0.8 shares none with a chance of 5e-8. Within a bucket every
-class is compared with the bucket's least id, not with every other; then components are built, and buckets whose members fell into
-several components are searched for links between different components, in blocks, inside the task that has the block's texts. So every pair that
-shares a bucket is either connected already or compared: no link that would join two components is lost, and no pairs are written out but links.
+class is compared with the bucket's least one, not with every other; then components are built, and buckets whose members fell into
+several components are searched for links between different components, in blocks, inside the task that has the block's texts. Members of split buckets of over
+`many` classes, such as texts that share a template, are told apart by further minima first: 64 bands of 8, which part texts of similarity 0.5
+sixteen times better and miss a pair of 0.8 with a chance of 8e-6. So every pair that
+shares a bucket is either connected already or compared, and no pairs are written out but links.
 A pair is compared by its signatures first and confirmed on the two full shingle sets.
 
 Defined cases: null and empty texts and those without words have no shingles and no links; texts of fewer than `words` words have one
-shingle, the whole sequence; rows with a null id are left alone (component null, kept); repeated rows of one id are one node; an empty table gives an
-empty table; extra columns pass through drop_near_copies whatever their names.
+shingle, the whole sequence; rows with a null id are left alone (component null, kept); rows are told apart by id and text: of rows of one id with different
+texts each has the component of its own text, and those of one id and one text stand or fall together; an empty table gives an empty table; extra columns
+pass through drop_near_copies whatever their names.
 """
 
 from __future__ import annotations
@@ -22,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exact_dedup
-from .common import as_text, lookup, written
+from .common import as_text, lookup, null_again, row_keys, written
 from .components import components
 from .textops import Words, groups_of, in_chunks, mix
 
-SETS = "doc_id long, n_shingles long, set_key binary, signature binary"
+SETS = "row_id long, row_hash long, n_shingles long, set_key binary, signature binary"
 
 
 def shingle_sets(texts: list[bytes], words: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -72,8 +75,13 @@ def signatures(sets: np.ndarray, first: np.ndarray, hashes: int, seed: int) -> n
     return out
 
 
-def sketch(docs: DataFrame, words: int, hashes: int, seed: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (equal for equal sets), signature."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    row_id, row_hash = row_keys(docs)
+    return docs.select(row_id.alias("row_id"), row_hash.alias("row_hash"), as_text(docs, "text").alias("text"))
+
+
+def _sketched(keyed: DataFrame, words: int, hashes: int, seed: int) -> DataFrame:
+    """row_id, row_hash, n_shingles, set_key (equal for equal sets), signature of row_id, row_hash, text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, texts in in_chunks(batches, "text"):
@@ -82,30 +90,31 @@ def sketch(docs: DataFrame, words: int, hashes: int, seed: int) -> DataFrame:
             keys = np.zeros((len(texts), 2), np.uint64)
             for k, part in enumerate((mix(sets), mix(sets ^ np.uint64(0xA5A5A5A5A5A5A5A5)))):
                 keys[:, k] = np.diff(np.r_[np.uint64(0), np.cumsum(part)][first])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n_shingles": sizes, "set_key": [k.tobytes() + int(n).to_bytes(8, "little") for k, n in zip(keys, sizes)], "signature": [x.tobytes() for x in sig]}).astype({"doc_id": "Int64"})
+            yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "row_hash": pdf["row_hash"].to_numpy(), "n_shingles": sizes, "set_key": [k.tobytes() + int(n).to_bytes(8, "little") for k, n in zip(keys, sizes)], "signature": [x.tobytes() for x in sig]})
 
-    return docs.select(F.col("doc_id").cast("long"), as_text(docs, "text").alias("text")).mapInPandas(run, SETS)
+    return keyed.mapInPandas(run, SETS)
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, text of at least the ids, one row each. Others are kept from the shuffle by a bounded filter."""
-    bits, blocks = exact_dedup.membership_filter(ids, "doc_id")
-    likely, _ = exact_dedup.split_by_filter(docs.select(F.col("doc_id").cast("long"), as_text(docs, "text").alias("text")), "doc_id", bits, blocks)
-    # repeated rows of one id: one of them
-    return likely.filter("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
+def _texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, text of the nodes, one row each: the text of each class's first row. Other rows are kept from the shuffle by a bounded filter."""
+    wanted = written(classes.select("node", "row_id", "row_hash").join(nodes.select("node").distinct(), "node"), "wanted-texts")
+    bits, blocks = exact_dedup.membership_filter(wanted, "row_id")
+    likely, _ = exact_dedup.split_by_filter(_keyed(docs), "row_id", bits, blocks)
+    found = likely.join(wanted, ["row_id", "row_hash"]).select("node", "text")
+    return found.dropDuplicates(["node"])  # rows that repeat id and text
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, share: int = 200) -> DataFrame:
-    """The pairs (head, other) whose full sets have 100 * intersection >= percent * union.
+def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int, share: int = 200) -> DataFrame:
+    """The pairs (head, other) of nodes whose full sets have 100 * intersection >= percent * union.
 
-    Texts of the ids in question go to the pairs. A head with many pairs is dealt over several groups,
+    Texts of the nodes in question go to the pairs. A head with many pairs is dealt over several groups,
     `share` pairs each, and comes to each of them once.
     """
     parts = pairs.groupBy("head").agg(F.count("*").alias("n")).select("head", (F.floor(F.col("n") / share) + 1).alias("parts"), "n")
     dealt = lookup(pairs, written(parts, "heads"), "head", "n").select("head", "other", F.pmod(F.xxhash64("other"), F.col("parts")).alias("part"))
     dealt = written(dealt, "dealt-pairs")
-    units = dealt.select("head", "part", F.col("other").alias("doc_id")).unionByName(dealt.select("head", "part", F.col("head").alias("doc_id")).distinct())
-    placed = units.join(_texts(docs, units.select("doc_id").distinct()), "doc_id").select("head", "part", (F.col("doc_id") != F.col("head")).alias("later"), "doc_id", "text")
+    units = dealt.select("head", "part", F.col("other").alias("node")).unionByName(dealt.select("head", "part", F.col("head").alias("node")).distinct())
+    placed = units.join(_texts(docs, classes, units), "node").select("head", "part", (F.col("node") != F.col("head")).alias("later"), "node", "text")
     placed = placed.repartition("head", "part").sortWithinPartitions("head", "part", "later")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,14 +122,14 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, share:
         for pdf, texts in in_chunks(batches, "text"):
             sets, first = shingle_sets(texts, words)
             found = []
-            for i, (head, part, later, doc_id) in enumerate(zip(pdf["head"], pdf["part"], pdf["later"], pdf["doc_id"])):
+            for i, (head, part, later, node) in enumerate(zip(pdf["head"], pdf["part"], pdf["later"], pdf["node"])):
                 here = sets[first[i] : first[i + 1]]
                 if not later:
                     own, own_set = (head, part), here
                 elif own == (head, part):
                     both = len(np.intersect1d(own_set, here, assume_unique=True))
                     if 100 * both >= percent * (len(own_set) + len(here) - both):
-                        found.append((head, doc_id))
+                        found.append((head, node))
             yield pd.DataFrame(found, columns=["head", "other"], dtype="int64")
 
     return placed.mapInPandas(run, "head long, other long")
@@ -132,8 +141,7 @@ def _alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
 
 def _by_signature(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """The pairs whose signatures agree in at most as few places as chance allows at the wanted similarity."""
-    sig = classes.select(F.col("rep"), "signature")
-    both = pairs.join(sig.select(F.col("rep").alias("other"), F.col("signature").alias("a")), "other").join(sig.select(F.col("rep").alias("head"), F.col("signature").alias("b")), "head")
+    both = pairs.join(classes.select(F.col("node").alias("other"), F.col("signature").alias("a")), "other").join(classes.select(F.col("node").alias("head"), F.col("signature").alias("b")), "head")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -144,13 +152,36 @@ def _by_signature(pairs: DataFrame, classes: DataFrame, least: float) -> DataFra
     return both.select("head", "other", "a", "b").mapInPandas(run, "head long, other long")
 
 
-def _wanted(members: DataFrame, classes: DataFrame, least: float, rows: int, block: int = 1000) -> DataFrame:
-    """band, i, j, rep, component, own: the members of buckets that have a partner in another component with a signature alike, where this bucket is the
-    first that both share. members: index, band, rep, component, n. A bucket of many members is cut into blocks; each pair of blocks is a group."""
+def _bands(classes: DataFrame, rows: int, hashes: int) -> DataFrame:
+    """node, index, band: a key for each `rows` minima in a row."""
+    size = 4 * rows
+    keys = F.array(*[F.xxhash64(F.substring("signature", i * size + 1, size), F.lit(i)) for i in range(hashes // rows)])
+    return classes.select("node", F.posexplode(keys).alias("index", "band"))
+
+
+def _split(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """members (index, band, node, n) of the buckets that hold several components, with component. labels: node, component."""
+    named = members.join(labels, "node")
+    split = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
+    return written(named.join(split, "band", "left_semi"), "split-buckets")
+
+
+def _buckets(banded: DataFrame, name: str) -> DataFrame:
+    """banded with head (the least node) and n (how many) of each bucket of two or more."""
+    heads = written(banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1"), name)
+    return written(lookup(banded, heads, "band", "n").filter("head is not null"), f"{name}-members")
+
+
+def _wanted(members: DataFrame, classes: DataFrame, least: float, rows: int, block: int = 250) -> DataFrame:
+    """band, i, j, node, component, own: the members of buckets that have a partner in another component with a signature alike, where this bucket is the
+    first that both share. members: index, band, node, component, n. A bucket of many members is cut into blocks; each pair of blocks is a group."""
     blocks = (F.floor(F.col("n") / block) + 1).cast("long")
-    own = members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks)).withColumn("second", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    own = own.select("index", "band", "rep", "component", F.least("own", "second").alias("i"), F.greatest("own", "second").alias("j"), "own")
-    placed = own.join(classes.select("rep", "signature"), "rep").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "rep")
+    own = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("second", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    own = own.select("index", "band", "node", "component", F.least("own", "second").alias("i"), F.greatest("own", "second").alias("j"), "own")
+    # a pair of blocks that one component fills has nothing to compare
+    mixed = own.groupBy("band", "i", "j").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band", "i", "j")
+    own = written(own.join(mixed, ["band", "i", "j"], "left_semi"), "blocks")
+    placed = own.join(classes.select("node", "signature"), "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in groups_of(batches, ["band", "i", "j"], 4096):
@@ -169,15 +200,15 @@ def _wanted(members: DataFrame, classes: DataFrame, least: float, rows: int, blo
                         here = same.reshape(len(at), -1, rows).all(axis=2).argmax(axis=1) == index
                         needed[at[here]] = True
                         needed[x] |= here.any()
-                yield part.loc[needed, ["band", "i", "j", "rep", "component", "own"]]
+                yield part.loc[needed, ["band", "i", "j", "node", "component", "own"]]
 
-    return placed.mapInPandas(run, "band long, i long, j long, rep long, component long, own long")
+    return placed.mapInPandas(run, "band long, i long, j long, node long, component long, own long")
 
 
-def _across(wanted: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _across(wanted: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """v, u: components that a link joins, confirmed on full sets, within the groups of _wanted."""
-    units = written(wanted.withColumnRenamed("rep", "doc_id"), "wanted")
-    placed = units.join(_texts(docs, units.select("doc_id").distinct()), "doc_id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "doc_id")
+    units = written(wanted, "wanted")
+    placed = units.join(_texts(docs, classes, units), "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in groups_of(batches, ["band", "i", "j"], 1024):
@@ -187,7 +218,7 @@ def _across(wanted: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
                 if found:
                     yield pd.DataFrame({"v": [names[a] for a, _ in found], "u": [names[b] for _, b in found]})
 
-    return placed.select("band", "i", "j", "doc_id", "component", "own", "text").mapInPandas(run, "v long, u long")
+    return placed.select("band", "i", "j", "node", "component", "own", "text").mapInPandas(run, "v long, u long")
 
 
 def linked_across(texts: list[bytes], component: np.ndarray, side: np.ndarray | None, words: int, percent: int) -> list[tuple[int, int]]:
@@ -217,39 +248,57 @@ def linked_across(texts: list[bytes], component: np.ndarray, side: np.ndarray |
     return out
 
 
-def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int = 128, rows: int = 4, slack: float = 0.2, seed: int = 42) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs."""
+def _renamed(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, component) after links (v, u) between components; a hot component is renamed by broadcast."""
+    if not links.limit(1).count():
+        return labels
+    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
+    joined = components(links).select(F.col("node").alias("component"), F.col("component").alias("whole")).join(sizes, "component")
+    out = lookup(labels, written(joined, "joined-components"), "component", "size")
+    return written(out.select("node", F.coalesce("whole", "component").alias("component")), "labels")
+
+
+def mark_rows(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int = 128, rows: int = 4, slack: float = 0.2, seed: int = 42, many: int = 1000, fine: tuple[int, int] = (512, 8)) -> DataFrame:
+    """row_id, row_hash, n_shingles, and of the row that stands for its component keep_id, keep_hash (null for rows without a component)."""
     least = percent / 100 - slack
-    sets = written(sketch(docs, words, hashes, seed), "sets")
-    linked = sets.filter("n_shingles > 0 and doc_id is not null")
-    grouped = linked.groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("m"), F.count("*").alias("copies"))
-    classes = written(grouped.select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.signature").alias("signature"), "copies"), "classes")
-    size = 4 * rows
-    bands = F.array(*[F.xxhash64(F.substring("signature", i * size + 1, size), F.lit(i)) for i in range(hashes // rows)])
-    banded = classes.select("rep", F.posexplode(bands).alias("index", "band"))
-    buckets = written(banded.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1"), "buckets")
-    members = written(lookup(banded, buckets, "band", "n").filter("head is not null"), "members")
-    first = written(_by_signature(members.filter("rep <> head").select("head", F.col("rep").alias("other")).distinct(), classes, least), "pairs")
-    links = written(confirm(first, docs, words, percent), "links").select(F.col("head").alias("v"), F.col("other").alias("u"))
-    found = written(components(links), "components")
+    sets = written(_sketched(_keyed(docs), words, hashes, seed), "sets")
+    is_linked = "n_shingles > 0 and row_hash & 1 = 0"
+    linked = sets.filter(is_linked)
+    grouped = linked.groupBy("set_key").agg(F.min(F.struct("row_id", "row_hash", "signature")).alias("m"), F.count("*").alias("copies"))
+    # written down, so a node's number is the same for all that read it
+    classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "set_key", "m.*", "copies"), "classes")
+    members = _buckets(_bands(classes, rows, hashes), "buckets")
+    first = written(_by_signature(members.filter("node <> head").select("head", F.col("node").alias("other")).distinct(), classes, least), "pairs")
+    links = written(confirm(first, docs, classes, words, percent), "links").select(F.col("head").alias("v"), F.col("other").alias("u"))
+    found = components(links)
+    labels = written(classes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "labels")
     # buckets that hold several components may hide a link between them
-    named = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("index", "band", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    split = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
-    wanted = _wanted(written(named.join(split, "band", "left_semi"), "split-buckets"), classes, least, rows)
-    more = written(_across(wanted, docs, words, percent), "more-links")
-    named = classes.select("set_key", "rep", "copies").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("set_key", F.coalesce("component", "rep").alias("component_id"), "copies")
-    if more.limit(1).count():
-        # components are joined as nodes of a graph of their own; a hot component is renamed by broadcast
-        joined = written(components(more), "joined-components").join(named.groupBy("component_id").agg(F.count("*").alias("size")).withColumnRenamed("component_id", "node"), "node")
-        renamed = lookup(named, joined.select(F.col("node").alias("component_id"), "component", "size"), "component_id", "size")
-        named = renamed.select("set_key", F.coalesce("component", "component_id").alias("component_id"), "copies")
-    named = written(named, "class-components")
-    placed = lookup(linked.drop("signature"), named, "set_key", "copies").select("doc_id", "n_shingles", "component_id")
-    alone = sets.filter("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return placed.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    split = _split(members.select("index", "band", "node", "n"), labels)
+    labels = _renamed(labels, written(_across(_wanted(split.filter(F.col("n") <= many), classes, least, rows), docs, classes, words, percent), "more-links"))
+    # members of large ones have further minima, with longer bands, so that texts that share but a template part
+    large = written(split.filter(F.col("n") > many).select("node").distinct(), "crowded")
+    if large.limit(1).count():
+        again = _texts(docs, classes, large).select(F.col("node").alias("row_id"), F.lit(0).cast("long").alias("row_hash"), "text")
+        finer = written(_sketched(again, words, fine[0], seed + 1).select(F.col("row_id").alias("node"), "signature"), "fine-signatures")
+        crowded = _split(_buckets(_bands(finer, fine[1], fine[0]), "fine-buckets").select("index", "band", "node", "n"), labels)
+        labels = _renamed(labels, written(_across(_wanted(crowded, finer, least, fine[1]), docs, classes, words, percent), "fine-links"))
+    whole = labels.join(classes.select("node", "set_key", "row_id", "row_hash", "copies"), "node")
+    heads = written(whole.groupBy("component").agg(F.min(F.struct("row_id", "row_hash")).alias("head"), F.count("*").alias("size")), "heads")
+    named = lookup(whole.select("component", "set_key", "copies"), heads, "component", "size").select("set_key", "copies", F.col("head.row_id").alias("keep_id"), F.col("head.row_hash").alias("keep_hash"))
+    placed = lookup(linked.drop("signature"), written(named, "class-components"), "set_key", "copies").select("row_id", "row_hash", "n_shingles", "keep_id", "keep_hash")
+    none = F.lit(None).cast("long")
+    alone = sets.filter(f"not ({is_linked})").select("row_id", "row_hash", "n_shingles", none.alias("keep_id"), none.alias("keep_hash"))
+    return placed.unionByName(alone)
+
+
+def near_copies(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of docs."""
+    own = null_again("row_id", "row_hash")
+    marks = mark_rows(docs, **options).select(own.alias("doc_id"), "n_shingles", F.coalesce("keep_id", own).alias("component_id"))
+    return marks.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """docs without the rows that another of their component stands for, all columns kept."""
-    return exact_dedup.drop_ids(docs, near_copies(docs, **options).filter("not kept").select("doc_id"))
+    """docs without the rows that another of their component stands for, all columns kept. A row goes by id and text: another text of its id stays."""
+    later = mark_rows(docs, **options).filter("keep_id <> row_id or keep_hash <> row_hash")
+    return exact_dedup.drop_rows(docs, later.select("row_id", "row_hash"))
