@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -96,6 +97,70 @@ def test_exact_dedup_is_native(docs, capsys):
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
 
 
+def test_drop_copies_shuffles_no_text_that_stays(spark, docs, capsys, tmp_path):
+    """Texts that are dealt have passed the filter of the copies' hashes first."""
+    docs.write.parquet(str(tmp_path / "d"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    exact_dedup.drop_copies(spark.read.parquet(str(tmp_path / "d"))).explain()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = capsys.readouterr().out.splitlines()
+    assert not re.search("Pandas|Arrow|BatchEval", "".join(lines))
+    depth = [re.search(r"[A-Za-z]|$", x).start() for x in lines]
+    dealt = 0
+    for i, x in enumerate(lines):
+        if "Exchange hashpartitioning" in x:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            below = lines[i + 1 : end]
+            if any("FileScan" in b and "text" in b for b in below):
+                dealt += 1
+                assert any("BroadcastHashJoin [filter_block" in b and "Inner" in b for b in below), below
+    assert dealt
+
+
+def test_filters_beyond_the_broadcast_bound(spark):
+    """A filter too large to broadcast gives the same split."""
+    df = spark.range(30_000).select((F.col("id") % 29_000).cast("string").alias("sha")).repartition(5)
+    bits, blocks = exact_dedup.repeat_filter(df, "sha")
+    assert blocks > 4
+    for mb in (32, 0):
+        maybe, unique = exact_dedup.split_by_filter(df, "sha", bits, blocks, max_mb=mb)
+        assert maybe.count() + unique.count() == 30_000 and unique.groupBy("sha").count().filter("count > 1").count() == 0
+        assert 2000 <= maybe.count() < 3000
+
+
+def test_drop_rows_by_id_and_text(spark):
+    rows = [(1, "a", 1), (1, "b", 2), (None, "a", 3), (0, "a", 4), (1, None, 5), (1, "", 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_hash int")
+    keys = exact_dedup.row_keys(df.filter("row_hash in (1, 3, 5)"))
+    gone = df.filter("row_hash in (1, 3, 5)").select(keys[0].alias("row_id"), keys[1].alias("row_hash"))
+    assert sorted(r[2] for r in exact_dedup.drop_rows(df, gone).collect()) == [2, 4]
+
+
+def test_drop_copies_of_hot_and_repeated_rows(spark):
+    """A text of many copies goes where its rows lie; of rows that repeat id and text one stays."""
+    rows = [(i, "hot text", i) for i in range(300)] + [(0, "hot text", 300), (None, "hot  text", 301)] + [(1000 + i % 4, f"t{i % 4}", 400 + i) for i in range(8)] + [(2000, "alone", 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, is_hot int").repartition(3)
+    assert sorted(r[0] for r in exact_dedup.drop_copies(df).collect()) == [0, 1000, 1001, 1002, 1003, 2000]
+
+
+BIG = [1152921504606846977, 1152921504606846979, 1152921504606846981, 4611686018427387904, 9223372036854775807]
+
+
+def test_large_ids_beside_a_null(spark):
+    """Ids over 2**53 stay exact where a null id is in the same batch, in every operator."""
+    rows = [(i, f"text number {k} " + " ".join(f"w{j}" for j in range(30)) * (k + 1)) for k, i in enumerate([*BIG, None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    ids = sorted(BIG) + [None]
+    name = lambda out: sorted((r["doc_id"] for r in out.collect()), key=lambda i: (i is None, i))
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert name(minhash.near_copies(df)) == name(edit_embedding.follow(df)) == name(quality.classify(df, none)) == ids
+    assert name(bwt.dedup_bytes(df)) == name(suffix_trees.dedup_words(df)) == ids
+    assert name(packing.pack_documents(df).filter("piece = 0")) == ids
+    pages = df.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.repeat("text", 20).alias("html")).union(spark.createDataFrame([(7, "u", rows[0][1] * 20)], "page_id long, url string, html string"))
+    back = {r["page_id"]: r["refers_to"] for r in warc.round_trip(pages.coalesce(1)).collect()}
+    assert back == {**dict.fromkeys(ids), 7: BIG[0]}
+
+
 # --- sharding
 
 
@@ -327,6 +392,30 @@ def test_minhash_chain_of_edits(spark):
     assert {i: r["component_id"] for i, r in got.items()} == want
 
 
+def test_minhash_rows_of_one_id(spark):
+    """A row goes by id and text: what shares its id with a copy, but not its text, stays."""
+    long, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    df = spark.createDataFrame([(1, long, 1), (2, long, 2), (2, other, 3), (None, long, 4), (5, other + " x", 5)], "doc_id long, text string, node int")
+    assert sorted(r[2] for r in minhash.drop_near_copies(df).collect()) == [1, 3, 4]
+    got = sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in minhash.near_copies(df).collect())
+    assert got == [(0, 0, True), (1, 1, True), (2, 1, False), (2, 2, True), (5, 2, False)]
+
+
+def test_minhash_crowded_buckets(spark):
+    """Texts that share a template part: crowded buckets are told apart by finer bands, and the links among them are found."""
+    rng, part, rows = random.Random(12), [f"t{i}" for i in range(40)], []
+    for i in range(60):
+        own = [f"w{rng.randrange(10**9)}" for _ in range(25)]
+        rows.append((2 * i, " ".join(part + own)))
+        if i % 3 == 0:
+            own[rng.randrange(25)] = "changed"
+            rows.append((2 * i + 1, " ".join(part + own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = components_of({i: shingles(t, 4) for i, t in rows}, 80)
+    for many in (1000, 3):
+        assert {r["doc_id"]: r["component_id"] for r in minhash.near_copies(df, words=4, many=many).collect()} == want
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(100 + i, 101 + i) for i in range(30)] + [(200, 200 + i) for i in range(50)]
@@ -528,12 +617,84 @@ def test_quality_edges(spark, docs, empty):
     assert quality.select_documents(docs.withColumn("rejected_id", F.lit(1)), odd).count() == docs.count()
 
 
+def plain_grams(text: str) -> Counter:
+    """What grams counts, one token at a time: n-grams as strings."""
+    data = "".join(chr(b) for b in text.encode())
+    tokens = re.findall(r"[A-Za-z\x80-\xff]+|[0-9]+|[^\x20\x09-\x0DA-Za-z0-9\x80-\xff]+", data)
+    low = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in tokens]
+    forms = []
+    for i, (t, w) in enumerate(zip(tokens, low)):
+        n = sum("A" <= c <= "Z" for c in t)
+        near = [b for b in range(1, quality.BACK + 1) if b <= i and low[i - b] == w]
+        kind = "d" if t[0].isdigit() else "w" if re.match("[A-Za-z\x80-\xff]", t) else t
+        case = "none" if not n else "all" if n == len(t) else "first" if n == 1 and "A" <= t[0] <= "Z" else "some"
+        forms.append(f"back {near[0]}" if near else kind if kind == t else f"{kind} {case}")
+    out = Counter(("word", w) for w in low)
+    out.update(("pair", a, b) for a, b in zip(low, low[1:]))
+    for t, w in zip(tokens, low):
+        if re.match("[A-Za-z\x80-\xff]", t):
+            out.update(("piece", (" " + w)[i : i + quality.PIECE]) for i in range(len(w) + 2 - quality.PIECE))
+    for k in (3, 5):
+        out.update(("form", k, *forms[i : i + k]) for i in range(len(forms) - k + 1))
+    return out
+
+
+def test_grams_against_a_plain_count():
+    """The same n-grams get the same bucket, others mostly another; counts and sizes agree."""
+    texts = [t or "" for _, t, *_ in corpus(3)] + ["a a a a B-52!! B-52!! Äß 12", "", " x", "éééé ABC aBc Abc worldwide"]
+    owner, bucket, count, total = quality.grams([t.encode() for t in texts])
+    alone = [quality.grams([t.encode()]) for t in texts]
+    assert np.array_equal(np.concatenate([a[1] for a in alone]), bucket) and np.array_equal(np.concatenate([a[2] for a in alone]), count)
+    seen, pooled = {}, Counter()
+    for i, t in enumerate(texts):
+        want = plain_grams(t)
+        assert total[i] == sum(want.values()) == count[owner == i].sum() and len(want) * 0.98 <= (owner == i).sum() <= len(want)
+        pooled.update(want)
+        seen.setdefault(tuple(sorted(want.items())), sorted(zip(bucket[owner == i], count[owner == i])))
+        assert seen[tuple(sorted(want.items()))] == sorted(zip(bucket[owner == i], count[owner == i]))
+    assert len(set(bucket.tolist())) >= 0.98 * len(pooled)
+
+
+def test_weights_against_a_plain_model(spark):
+    """Ratios, the rest and weights of a small table, counted with dictionaries."""
+    rng = random.Random(11)
+    common, texts, good = [f"word{i}" for i in range(30)], [], []
+    for i in range(400):
+        poor = i % 3 == 0
+        texts.append(" ".join(rng.choices(common, k=20) + ["junk"] * (poor * rng.randint(1, 5))))
+        good.append(not poor)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sample = spark.createDataFrame([(t, g, True) for t, g in list(zip(texts, good))[::2]], "text string, good boolean, harmless boolean")
+    model = quality.fit(docs, sample, least_z=3.0, least_effect=0.5)
+    got = {r["doc_id"]: r["good"] for r in quality.weigh(docs, model, "doc_id").collect()}
+    each = [Counter(dict(zip(b.tolist(), c.tolist()))) for _, b, c, _ in (quality.grams([t.encode()]) for t in texts)]
+    near = [e for e, g in list(zip(each, good))[::2] if g]
+    mass = [sum(map(Counter, of), Counter()) for of in (near, each)]
+    size = [sum(m.values()) for m in mass]
+    level = [Counter() for _ in range(2)]
+    for l, of in zip(level, (near, each)):
+        for e in of:
+            l.update({b: c.bit_length() for b, c in e.items()})
+    own, scale = {}, min(1.0, size[0] / size[1])
+    for b in mass[1]:
+        ratio = math.log((mass[0][b] + 0.5) / size[0]) - math.log((mass[1][b] * scale + 0.5) / (size[1] * scale))
+        p = (level[0][b] + level[1][b]) / (len(near) + len(each))
+        told = sum(x * math.log(x / (p * n)) for x, n in ((level[0][b], len(near)), (level[1][b], len(each))) if x)
+        if abs(ratio) >= 0.5 and 2 * told >= 9:
+            own[b] = ratio
+    rest = math.log((size[0] - sum(mass[0][b] for b in own)) / size[0]) - math.log((size[1] - sum(mass[1][b] for b in own)) / size[1])
+    assert own and rest > 0
+    for i, e in enumerate(each):
+        assert abs(got[i] - sum(c * own.get(b, rest) for b, c in e.items())) < 1e-6
+    assert max(got[i] for i in got if not good[i]) < min(got[i] for i in got if good[i])
+
+
 def test_top_k_is_exact(spark):
     rng = random.Random(8)
     values = [rng.choice([0.0, 1.5, rng.random(), rng.random() * 1e6]) for _ in range(30_000)]
     df = spark.createDataFrame(list(enumerate(values)), "doc_id long, key double").cache()
     for k in (0, 1, 777, 15_000, 30_000):
-        got = {r[0] for r in df.filter(quality._top(df, "key", k)).select("doc_id").collect()}
+        got = {r[0] for r in df.filter(quality._top(df, "key", k, ids=("doc_id",))).select("doc_id").collect()}
         assert got == set(sorted(range(len(values)), key=lambda i: (-values[i], i))[:k])
 
 
