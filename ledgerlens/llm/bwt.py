@@ -164,7 +164,6 @@ def _solve(frame: pd.DataFrame, window: int, local: int) -> Iterator[pd.DataFram
     sizes = pd.Series(counts).groupby(keys).transform("sum").to_numpy()
     order = np.argsort(text_of, kind="stable")
     bounds = np.searchsorted(text_of[order], np.arange(len(texts) + 1))
-    kinds = pd.Series(1, index=range(len(keys))).groupby(keys).transform("sum").to_numpy()
 
     def runs(chosen: list[int], hits: list[np.ndarray]) -> pd.DataFrame:
         doc, row, start, n = [], [], [], []
@@ -179,12 +178,10 @@ def _solve(frame: pd.DataFrame, window: int, local: int) -> Iterator[pd.DataFram
         none = [np.zeros(0, np.int64)]
         return pd.DataFrame({"doc_id": np.concatenate(doc or none), "row_hash": np.concatenate(row or none), "start": np.concatenate(start or none), "windows": np.concatenate(n or none).astype(np.int32)})
 
-    # a key of one place has no repeat; of one text with several places, nothing but repeats; different texts of a key are compared, key by key
-    alike = np.flatnonzero((sizes > 1) & (kinds == 1)).tolist()
-    yield runs(alike, [np.ones(len(texts[i]) - window + 1, bool) for i in alike])
+    # a key of one place has no repeat; whole keys go into a transform
     batch: list[int] = []
     total = 0
-    for i in np.flatnonzero(kinds > 1).tolist():
+    for i in np.flatnonzero(sizes > 1).tolist():
         if total >= local and keys[i] != keys[batch[-1]]:
             yield runs(batch, repeated_windows([texts[j] for j in batch], [int(counts[j]) for j in batch], window))
             batch, total = [], 0
@@ -233,8 +230,10 @@ def _part_hot(hot_rows: DataFrame, window: int, gram: int, most: int) -> tuple[l
         parts = written(todo.mapInPandas(lambda b: _parted(b, window), HALF), "parts")
         counts = parts.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("places") / 24).alias("k")).filter("k > 1")
         known = lookup(parts, written(counts, "part-counts"), "key", "n").filter("n is not null")
-        # a range of one window shares all of it: its occurrences are repeats
-        runs.append(known.filter("high - low = 1").select(*names).mapInPandas(_spread, RUN))
+        # a range of one window shares all of it, bytes told by themselves: its occurrences are repeats
+        single = written(known.filter("high - low = 1").select(*names), "single-windows")
+        often = single.groupBy("content").agg(F.count("*").alias("m"), F.sum(F.octet_length("places") / 24).alias("k")).filter("k > 1").drop("k")
+        runs.append(lookup(single, written(often, "often"), "content", "m").filter("m is not null").select(*names).mapInPandas(_spread, RUN))
         small.append(known.filter(f"high - low > 1 and n <= {most}").select(*names))
         todo = written(known.filter(f"high - low > 1 and n > {most}").select(*names, "low", "high"), "still-hot")
         if not todo.limit(1).count():
@@ -282,7 +281,7 @@ def dedup_bytes(docs: DataFrame, window: int = 400, gram: int = 64, kept: bool =
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc_id, text, starts, windows in zip(pdf["doc_id"], pdf["text"], pdf["starts"], pdf["windows"]):
+            for doc_id, row_hash, text, starts, windows in zip(pdf["doc_id"], pdf["row_hash"], pdf["text"], pdf["starts"], pdf["windows"]):
                 data = text.encode()
                 if starts is None or not len(starts):
                     left, removed, spans = data, 0, 0
@@ -290,10 +289,10 @@ def dedup_bytes(docs: DataFrame, window: int = 400, gram: int = 64, kept: bool =
                     gone = covered(starts, windows, len(data), window)
                     left = np.frombuffer(data, np.uint8)[~gone].tobytes()
                     removed, spans = int(gone.sum()), int((np.diff(np.r_[0, gone.astype(np.int8)]) == 1).sum())
-                out.append((doc_id, len(data), removed, spans, hashlib.sha256(left).hexdigest(), left if kept else None))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                out.append((doc_id, row_hash, len(data), removed, spans, hashlib.sha256(left).hexdigest(), left if kept else None))
+            yield pd.DataFrame(out, columns=["doc_id", "row_hash", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    out = with_runs(rows, repeated_runs(rows, window, gram), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = with_runs(rows, repeated_runs(rows, window, gram), run, "doc_id long, row_hash long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out if kept else out.drop("kept")
 
 

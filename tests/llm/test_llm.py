@@ -235,7 +235,39 @@ def test_bwt_prefixes_against_brute_force():
             assert hit.tolist() == [seen[t[i : i + window]] > 1 for i in range(len(t) - window + 1)]
 
 
-@pytest.mark.parametrize("hot", [40_000, 1])
+def test_deep_tree_against_brute_force():
+    """Nodes are the sequences that two or more suffixes share and that their next symbols part; parents hold their children."""
+    rng = random.Random(21)
+    for _ in range(80):
+        texts, least = [rng.choices("ab", k=rng.randint(0, 12)) for _ in range(rng.randint(1, 6))], rng.randint(1, 4)
+        codes = np.array([ord(c) - 96 for t in texts for c in t], np.int64)
+        end = np.repeat(np.cumsum([len(t) for t in texts]), [len(t) for t in texts])
+        tree = suffix_trees.DeepTree(codes, end, np.arange(len(codes)), least)
+        suffix = ["".join(chr(96 + c) for c in codes[i : end[i]]) for i in range(len(codes))]
+        assert [suffix[i] for i in tree.order] == sorted(suffix)
+        want = set()
+        for p in {s[:k] for s in suffix for k in range(least, len(s) + 1)}:
+            below = [s for s in suffix if s.startswith(p)]
+            if len(below) > 1 and len({s[len(p) : len(p) + 1] for s in below}) + (below.count(p) > 1) > 1:
+                want.add((p, len(below)))
+        got = [(suffix[tree.order[a]][:d], b - a + 1) for a, b, d in zip(tree.left, tree.right, tree.depth)]
+        assert len(got) == len(set(got)) and set(got) == want
+        for i, up in enumerate(tree.parent.tolist()):
+            if up >= 0:
+                assert tree.left[up] <= tree.left[i] <= tree.right[i] <= tree.right[up] and tree.depth[up] < tree.depth[i]
+        tops = tree.tops()
+        for i, s in enumerate(suffix):
+            for j, t in enumerate(suffix):
+                if i != j:
+                    assert (tops[i] == tops[j]) == (len(s) >= least and len(t) >= least and s[:least] == t[:least])
+
+
+def test_maximal_repeats():
+    texts = ["x a b c d y", "z a b c d w", "q b c d r", "a  b\tc d"]
+    assert suffix_trees.maximal_repeats(texts, 3) == {("a", "b", "c", "d"): 3, ("b", "c", "d"): 4}
+
+
+@pytest.mark.parametrize("hot", [40_000, 5, 1])
 def test_words_against_brute_force(docs, rows, hot, monkeypatch):
     run = suffix_trees.repeated_runs
     monkeypatch.setattr(suffix_trees, "repeated_runs", lambda r, w, g: run(r, w, g, hot=hot, max_bits=16))
@@ -255,6 +287,17 @@ def test_words_against_brute_force(docs, rows, hot, monkeypatch):
         assert tuple(got[i])[1:4] == (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()) and got[i]["text"] == kept
 
 
+def test_bytes_at_the_production_window(spark):
+    """The query's own window and gram against all 400-byte strings of a table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    got = by_id(bwt.dedup_bytes(docs))
+    texts = [(r["text"] or "").encode() for r in rows]
+    for r, t, gone in zip(rows, texts, removed_bytes(texts, 400)):
+        spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
+        assert tuple(got[r["doc_id"]])[1:] == (len(t), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest())
+
+
 def test_substring_dedup_edges(spark, empty):
     assert bwt.dedup_bytes(empty).count() == 0 and suffix_trees.dedup_words(empty).count() == 0
     long = "é" + " ".join(f"w{i}" for i in range(400))
