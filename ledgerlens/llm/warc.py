@@ -3,7 +3,7 @@
 `write_archives` writes one gzip member per record, so that each can be read alone, and returns the index: archive, offset, length, URL and
 digest per record. `read_records` takes any rows of an index, sorts them by archive and offset, joins ranges that lie close together into
 one read, and parses the records. Archives are written below spark.checkpoint.dir or a given folder that all executors share; pyarrow opens
-it by its URI. A retried task writes the same file again, under a temporary name that is then renamed.
+it by its URI. Each attempt of a task writes files of its own; the index of the attempt that Spark commits points to them, and files of lost attempts are in no index.
 
 Of records with equal payloads of at least `least` bytes, that with the largest page_id is the response and the others are revisits of it;
 smaller payloads are always responses. A revisit has the HTTP head only, whose Content-Length is that of the full payload.
@@ -26,30 +26,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, new_path, written
+from .common import as_text, lookup, new_path, partitions_for, row_keys, written
+from .exact_dedup import membership_filter, split_by_filter
 
 INDEX = "page_id long, url string, archive string, offset long, length long, payload_digest string, payload_bytes long, record_type string, refers_to long"
-RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+WRITTEN = "page long, null_page int, url string, archive string, offset long, length long, payload_digest string, payload_bytes long, record_type string, refers_to long"
+READ = "page long, null_page boolean, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def decide(pages: DataFrame, least: int = 1000) -> DataFrame:
-    """page_id, payload_digest, refers_to for the pages that are revisits. Only digests are shuffled; a hot digest is looked up by broadcast."""
-    html = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
-    narrow = written(pages.select("page_id", F.sha1(html).alias("payload_digest"), F.octet_length(html).alias("n")).filter(F.col("n") >= least).drop("n"), "digests")
+    """page, page_key (common.row_keys of page_id and html), refers_to for the pages that are revisits. Only digests are shuffled; a hot digest is looked up by broadcast."""
+    page, key = row_keys(pages, "page_id", "html")
+    html = F.encode(as_text(pages, "html"), "UTF-8")
+    narrow = written(pages.select(page.alias("page"), key.alias("page_key"), "page_id", F.sha1(html).alias("payload_digest"), F.octet_length(html).alias("n")).filter(F.col("n") >= least).drop("n"), "digests")
     groups = written(narrow.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies")).filter("copies > 1"), "digest-groups")
     found = lookup(narrow, groups, "payload_digest", "copies")
-    return found.filter("refers_to is not null and not (page_id <=> refers_to)").select("page_id", "payload_digest", "refers_to").dropDuplicates(["page_id", "payload_digest"])
+    return found.filter("refers_to is not null and not (page_id <=> refers_to)").select("page", "page_key", "refers_to").distinct()
 
 
 def _url(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
 
 
-def _number(x) -> int | None:
-    return None if x is None or pd.isna(x) else int(x)
-
-
 def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> tuple[bytes, str]:
     """The record's bytes, not compressed, and the payload's SHA-1 in hex."""
     sha = hashlib.sha1(payload)  # noqa: S324 - the format's digest
@@ -84,12 +83,18 @@ def parse_record(data: bytes) -> dict:
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least: int = 1000, archive_bytes: int = 1 << 30, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Writes every page (page_id, url, html) and returns the index, written beside the archives."""
+    """Writes every page (page_id, url, html) and returns the index, written beside the archives. Pages are written where they lie: what is brought to them is the
+    decision, for pages that a bounded filter of the revisits' keys does not clear."""
     folder = folder or new_path(pages.sparkSession, "warc")
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     # a decision is of a page and its payload: rows of one page_id may differ in html
-    digest = F.sha1(F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8"))
-    rows = rows.withColumn("payload_digest", digest).join(decide(rows, least), ["page_id", "payload_digest"], "left").drop("payload_digest")
+    page, key = row_keys(pages, "page_id", "html")
+    rows = pages.select(page.alias("page"), key.alias("page_key"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    revisits = written(decide(pages, least), "revisits")
+    bits, blocks = membership_filter(revisits, "page_key")
+    likely, clear = split_by_filter(rows, "page_key", bits, blocks)
+    columns = ["page", "page_key", "url", "html", "refers_to", "revisits"]
+    told = likely.join(revisits, ["page", "page_key"], "left").withColumns({"revisits": F.col("refers_to").isNotNull(), "refers_to": F.coalesce("refers_to", F.lit(0).cast("long"))})
+    alone = clear.withColumns({"refers_to": F.lit(0).cast("long"), "revisits": F.lit(False)})
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -97,35 +102,32 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 100
         system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
         task = TaskContext.get()
-        sink, number, offset, name, temporary = None, 0, 0, "", ""
-
-        def close() -> None:
-            sink.close()
-            system.move(temporary, f"{base}/{name}")
-
+        sink, number, offset, name = None, 0, 0, ""
         for pdf in batches:
             index = []
-            for page_id, url, html, refers_to in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["refers_to"]):
+            for page, key, url, html, refers_to, revisit in zip(*[pdf[c] for c in columns]):
                 if sink is None:
-                    name = f"pages-{task.partitionId():06d}-{number:04d}.warc.gz"
-                    temporary, offset = f"{base}/.{name}.{task.taskAttemptId()}", 0
-                    sink = system.open_output_stream(temporary)
-                payload, to = (html or "").encode(), _number(refers_to)
-                record, digest = build_record(_number(page_id), url, payload, to, date)
+                    # an attempt has names of its own, which its index rows point to: another attempt's rows and files never mix with them
+                    name, offset = f"pages-{task.stageId()}-{task.partitionId():06d}-{task.taskAttemptId()}-{number:04d}.warc.gz", 0
+                    sink = system.open_output_stream(f"{base}/{name}", compression=None)  # records are compressed one by one
+                payload, to = (html or "").encode(), int(refers_to) if revisit else None
+                record, digest = build_record(None if key & 1 else int(page), url, payload, to, date)
                 pack = zlib.compressobj(6, zlib.DEFLATED, 31)
                 data = pack.compress(record) + pack.flush()
                 sink.write(data)
-                index.append((page_id, url, name, offset, len(data), digest, len(payload), "response" if to is None else "revisit", to))
+                index.append((page, key & 1, url, name, offset, len(data), digest, len(payload), "revisit" if revisit else "response", refers_to))
                 offset += len(data)
                 if offset >= archive_bytes:
-                    close()
+                    sink.close()
                     sink, number = None, number + 1
-            yield pd.DataFrame(index, columns=[x.split()[0] for x in INDEX.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield pd.DataFrame(index, columns=[x.split()[0] for x in WRITTEN.split(", ")])
         if sink is not None:
-            close()
+            sink.close()
 
+    out = alone.select(*columns).mapInPandas(write, WRITTEN).unionByName(told.select(*columns).mapInPandas(write, WRITTEN))
+    index = out.select(F.when(F.col("null_page") == 0, F.col("page")).alias("page_id"), "url", "archive", "offset", "length", "payload_digest", "payload_bytes", "record_type", F.when(F.col("record_type") == "revisit", F.col("refers_to")).alias("refers_to"))
     path = f"{folder}/index"
-    rows.mapInPandas(write, INDEX).write.parquet(path)
+    index.write.parquet(path)
     return pages.sparkSession.read.schema(INDEX).parquet(path).withColumn("archive", F.concat(F.lit(f"{folder}/"), "archive"))
 
 
@@ -140,8 +142,8 @@ def coalesce_ranges(ranges: list[tuple[int, int]], gap: int, most: int) -> list[
     return runs
 
 
-def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 4 << 20, payload: bool = True) -> DataFrame:
-    """The records of the index rows. Each archive's rows go to one task, in order of offset."""
+def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 4 << 20, payload: bool = True, slice_bytes: int = 32 << 20) -> DataFrame:
+    """The records of the index rows. Each slice of an archive goes to one task, in order of offset; there are as many tasks as the index has slices, 8 of them to a task at most."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -155,13 +157,15 @@ def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 4 << 20, pay
                         start = ranges[run[0]][0]
                         data = source.read_at(sum(ranges[run[-1]]) - start, start)
                         found = [parse_record(zlib.decompress(data[ranges[i][0] - start : sum(ranges[i]) - start], 31)) for i in run]
-                        out = pd.DataFrame(found, columns=[x.split()[0] for x in RECORD.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
-                        if not payload:
-                            out["payload"] = None
-                        yield out
-
-    sorted_rows = index.select("archive", "offset", "length").repartition("archive").sortWithinPartitions("archive", "offset")
-    return sorted_rows.mapInPandas(read, RECORD)
+                        rows = [(r["page_id"] or 0, r["page_id"] is None, r["url"], r["record_type"], r["refers_to"] or 0, r["payload_bytes"], r["payload_digest"], r["payload"] if payload else None) for r in found]
+                        yield pd.DataFrame(rows, columns=[x.split()[0] for x in READ.split(", ")])
+
+    rows = index.select("archive", "offset", "length", F.floor(F.col("offset") / slice_bytes).alias("slice"))
+    parts = partitions_for(rows.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0], slice_bytes // 8)
+    # a number of partitions of its own, as the index is small beside what its rows make tasks read
+    sorted_rows = rows.repartition(parts, "archive", "slice").sortWithinPartitions("archive", "offset").drop("slice")
+    out = sorted_rows.mapInPandas(read, READ)
+    return out.select(F.when(~F.col("null_page"), F.col("page")).alias("page_id"), "url", "record_type", F.when(F.col("record_type") == "revisit", F.col("refers_to")).alias("refers_to"), "payload_bytes", "payload_digest", "payload")
 
 
 def round_trip(pages: DataFrame, least: int = 1000) -> DataFrame:
