@@ -83,11 +83,13 @@ def lookup(rows: DataFrame, groups: DataFrame, key: str, weight: str, k: int = 1
     k-th of the rows. key may be null on neither side.
     """
     hot = heaviest(groups, weight, k)
-    return lookup_hot(rows, groups, hot, key)
+    return lookup_hot(rows, groups, hot, key, k)
 
 
-def lookup_hot(rows: DataFrame, groups: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+def lookup_hot(rows: DataFrame, groups: DataFrame, hot: DataFrame, key: str, k: int) -> DataFrame:
     hot = written(hot, "hot")
+    if hot.count() < k:  # these are all
+        return rows.join(F.broadcast(hot), key, "left").select(*rows.columns, *[c for c in groups.columns if c != key])
     mark = free_name(rows, "is_hot")
     marked = rows.join(F.broadcast(hot.withColumn(mark, F.lit(True))), key, "left")
     names = [*rows.columns, *[c for c in groups.columns if c != key]]
