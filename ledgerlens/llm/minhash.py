@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exact_dedup
-from .common import as_text, lookup, null_again, row_keys, written
-from .components import components
-from .textops import Words, groups_of, in_chunks, mix
+from .bands import Search, class_texts, keyed, renamed
+from .common import lookup, null_again, written
+from .textops import Words, in_chunks, mix
 
 SETS = "row_id long, row_hash long, n_shingles long, set_key binary, signature binary"
 
@@ -75,12 +75,7 @@ def signatures(sets: np.ndarray, first: np.ndarray, hashes: int, seed: int) -> n
     return out
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    row_id, row_hash = row_keys(docs)
-    return docs.select(row_id.alias("row_id"), row_hash.alias("row_hash"), as_text(docs, "text").alias("text"))
-
-
-def _sketched(keyed: DataFrame, words: int, hashes: int, seed: int) -> DataFrame:
+def _sketched(rows: DataFrame, words: int, hashes: int, seed: int) -> DataFrame:
     """row_id, row_hash, n_shingles, set_key (equal for equal sets), signature of row_id, row_hash, text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,133 +87,7 @@ def _sketched(keyed: DataFrame, words: int, hashes: int, seed: int) -> DataFrame
                 keys[:, k] = np.diff(np.r_[np.uint64(0), np.cumsum(part)][first])
             yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "row_hash": pdf["row_hash"].to_numpy(), "n_shingles": sizes, "set_key": [k.tobytes() + int(n).to_bytes(8, "little") for k, n in zip(keys, sizes)], "signature": [x.tobytes() for x in sig]})
 
-    return keyed.mapInPandas(run, SETS)
-
-
-def _texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, text of the nodes, one row each: the text of each class's first row. Other rows are kept from the shuffle by a bounded filter."""
-    wanted = written(classes.select("node", "row_id", "row_hash").join(nodes.select("node").distinct(), "node"), "wanted-texts")
-    bits, blocks = exact_dedup.membership_filter(wanted, "row_id")
-    likely, _ = exact_dedup.split_by_filter(_keyed(docs), "row_id", bits, blocks)
-    found = likely.join(wanted, ["row_id", "row_hash"]).select("node", "text")
-    return found.dropDuplicates(["node"])  # rows that repeat id and text
-
-
-def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int, share: int = 200) -> DataFrame:
-    """The pairs (head, other) of nodes whose full sets have 100 * intersection >= percent * union.
-
-    Texts of the nodes in question go to the pairs. A head with many pairs is dealt over several groups,
-    `share` pairs each, and comes to each of them once.
-    """
-    parts = pairs.groupBy("head").agg(F.count("*").alias("n")).select("head", (F.floor(F.col("n") / share) + 1).alias("parts"), "n")
-    dealt = lookup(pairs, written(parts, "heads"), "head", "n").select("head", "other", F.pmod(F.xxhash64("other"), F.col("parts")).alias("part"))
-    dealt = written(dealt, "dealt-pairs")
-    units = dealt.select("head", "part", F.col("other").alias("node")).unionByName(dealt.select("head", "part", F.col("head").alias("node")).distinct())
-    placed = units.join(_texts(docs, classes, units), "node").select("head", "part", (F.col("node") != F.col("head")).alias("later"), "node", "text")
-    placed = placed.repartition("head", "part").sortWithinPartitions("head", "part", "later")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, own_set = None, None
-        for pdf, texts in in_chunks(batches, "text"):
-            sets, first = shingle_sets(texts, words)
-            found = []
-            for i, (head, part, later, node) in enumerate(zip(pdf["head"], pdf["part"], pdf["later"], pdf["node"])):
-                here = sets[first[i] : first[i + 1]]
-                if not later:
-                    own, own_set = (head, part), here
-                elif own == (head, part):
-                    both = len(np.intersect1d(own_set, here, assume_unique=True))
-                    if 100 * both >= percent * (len(own_set) + len(here) - both):
-                        found.append((head, node))
-            yield pd.DataFrame(found, columns=["head", "other"], dtype="int64")
-
-    return placed.mapInPandas(run, "head long, other long")
-
-
-def _alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
-    return (a == b).mean(axis=-1) >= least
-
-
-def _by_signature(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """The pairs whose signatures agree in at most as few places as chance allows at the wanted similarity."""
-    both = pairs.join(classes.select(F.col("node").alias("other"), F.col("signature").alias("a")), "other").join(classes.select(F.col("node").alias("head"), F.col("signature").alias("b")), "head")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                a, b = (np.frombuffer(b"".join(pdf[c]), np.uint32).reshape(len(pdf), -1) for c in "ab")
-                yield pdf.loc[_alike(a, b, least), ["head", "other"]]
-
-    return both.select("head", "other", "a", "b").mapInPandas(run, "head long, other long")
-
-
-def _bands(classes: DataFrame, rows: int, hashes: int) -> DataFrame:
-    """node, index, band: a key for each `rows` minima in a row."""
-    size = 4 * rows
-    keys = F.array(*[F.xxhash64(F.substring("signature", i * size + 1, size), F.lit(i)) for i in range(hashes // rows)])
-    return classes.select("node", F.posexplode(keys).alias("index", "band"))
-
-
-def _split(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """members (index, band, node, n) of the buckets that hold several components, with component. labels: node, component."""
-    named = members.join(labels, "node")
-    split = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
-    return written(named.join(split, "band", "left_semi"), "split-buckets")
-
-
-def _buckets(banded: DataFrame, name: str) -> DataFrame:
-    """banded with head (the least node) and n (how many) of each bucket of two or more."""
-    heads = written(banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1"), name)
-    return written(lookup(banded, heads, "band", "n").filter("head is not null"), f"{name}-members")
-
-
-def _wanted(members: DataFrame, classes: DataFrame, least: float, rows: int, block: int = 250) -> DataFrame:
-    """band, i, j, node, component, own: the members of buckets that have a partner in another component with a signature alike, where this bucket is the
-    first that both share. members: index, band, node, component, n. A bucket of many members is cut into blocks; each pair of blocks is a group."""
-    blocks = (F.floor(F.col("n") / block) + 1).cast("long")
-    own = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("second", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    own = own.select("index", "band", "node", "component", F.least("own", "second").alias("i"), F.greatest("own", "second").alias("j"), "own")
-    # a pair of blocks that one component fills has nothing to compare
-    mixed = own.groupBy("band", "i", "j").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band", "i", "j")
-    own = written(own.join(mixed, ["band", "i", "j"], "left_semi"), "blocks")
-    placed = own.join(classes.select("node", "signature"), "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in groups_of(batches, ["band", "i", "j"], 4096):
-            for (_, i, j), part in frame.groupby(["band", "i", "j"], sort=False):
-                sig = np.frombuffer(b"".join(part["signature"]), np.uint32).reshape(len(part), -1)
-                comp, side, index = part["component"].to_numpy(), part["own"].to_numpy(), int(part["index"].iloc[0])
-                needed = np.zeros(len(part), bool)
-                for x in range(len(part) - 1):
-                    at = x + 1 + np.flatnonzero((comp[x + 1 :] != comp[x]) & ((side[x + 1 :] != side[x]) if i != j else True))
-                    if not len(at):
-                        continue
-                    same = sig[at] == sig[x]
-                    close = same.mean(axis=1) >= least
-                    at, same = at[close], same[close]
-                    if len(at):
-                        here = same.reshape(len(at), -1, rows).all(axis=2).argmax(axis=1) == index
-                        needed[at[here]] = True
-                        needed[x] |= here.any()
-                yield part.loc[needed, ["band", "i", "j", "node", "component", "own"]]
-
-    return placed.mapInPandas(run, "band long, i long, j long, node long, component long, own long")
-
-
-def _across(wanted: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """v, u: components that a link joins, confirmed on full sets, within the groups of _wanted."""
-    units = written(wanted, "wanted")
-    placed = units.join(_texts(docs, classes, units), "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in groups_of(batches, ["band", "i", "j"], 1024):
-            for (_, i, j), part in frame.groupby(["band", "i", "j"], sort=False):
-                found = linked_across([t.encode() for t in part["text"]], part["component"].to_numpy(), part["own"].to_numpy() if i != j else None, words, percent)
-                names = part["component"].to_numpy()
-                if found:
-                    yield pd.DataFrame({"v": [names[a] for a, _ in found], "u": [names[b] for _, b in found]})
-
-    return placed.select("band", "i", "j", "node", "component", "own", "text").mapInPandas(run, "v long, u long")
+    return rows.mapInPandas(run, SETS)
 
 
 def linked_across(texts: list[bytes], component: np.ndarray, side: np.ndarray | None, words: int, percent: int) -> list[tuple[int, int]]:
@@ -248,40 +117,37 @@ def linked_across(texts: list[bytes], component: np.ndarray, side: np.ndarray |
     return out
 
 
-def _renamed(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """labels (node, component) after links (v, u) between components; a hot component is renamed by broadcast."""
-    if not links.limit(1).count():
-        return labels
-    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
-    joined = components(links).select(F.col("node").alias("component"), F.col("component").alias("whole")).join(sizes, "component")
-    out = lookup(labels, written(joined, "joined-components"), "component", "size")
-    return written(out.select("node", F.coalesce("whole", "component").alias("component")), "labels")
-
-
 def mark_rows(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int = 128, rows: int = 4, slack: float = 0.2, seed: int = 42, many: int = 1000, fine: tuple[int, int] = (512, 8)) -> DataFrame:
     """row_id, row_hash, n_shingles, and of the row that stands for its component keep_id, keep_hash (null for rows without a component)."""
-    least = percent / 100 - slack
-    sets = written(_sketched(_keyed(docs), words, hashes, seed), "sets")
+    sets = written(_sketched(keyed(docs), words, hashes, seed), "sets")
     is_linked = "n_shingles > 0 and row_hash & 1 = 0"
     linked = sets.filter(is_linked)
     grouped = linked.groupBy("set_key").agg(F.min(F.struct("row_id", "row_hash", "signature")).alias("m"), F.count("*").alias("copies"))
     # written down, so a node's number is the same for all that read it
     classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "set_key", "m.*", "copies"), "classes")
-    members = _buckets(_bands(classes, rows, hashes), "buckets")
-    first = written(_by_signature(members.filter("node <> head").select("head", F.col("node").alias("other")).distinct(), classes, least), "pairs")
-    links = written(confirm(first, docs, classes, words, percent), "links").select(F.col("head").alias("v"), F.col("other").alias("u"))
-    found = components(links)
-    labels = written(classes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "labels")
-    # buckets that hold several components may hide a link between them
-    split = _split(members.select("index", "band", "node", "n"), labels)
-    labels = _renamed(labels, written(_across(_wanted(split.filter(F.col("n") <= many), classes, least, rows), docs, classes, words, percent), "more-links"))
-    # members of large ones have further minima, with longer bands, so that texts that share but a template part
+
+    def prepare(texts: list[bytes]) -> list[np.ndarray]:
+        sets, first = shingle_sets(texts, words)
+        return np.split(sets, first[1:-1])
+
+    def same(a: np.ndarray, b: np.ndarray) -> bool:
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * both >= percent * (len(a) + len(b) - both)
+
+    def across(texts: list[bytes], component: np.ndarray, side: np.ndarray | None) -> list[tuple[int, int]]:
+        return linked_across(texts, component, side, words, percent)
+
+    search = Search(docs, np.uint32, rows, percent / 100 - slack, prepare, same, across)
+    labels, split = search.labels(classes, hashes)
+    labels = renamed(labels, written(search.links_across(split.filter(F.col("n") <= many), classes), "more-links"))
+    # members of large split buckets have further minima, with longer bands, so that texts that share but a template part
     large = written(split.filter(F.col("n") > many).select("node").distinct(), "crowded")
     if large.limit(1).count():
-        again = _texts(docs, classes, large).select(F.col("node").alias("row_id"), F.lit(0).cast("long").alias("row_hash"), "text")
-        finer = written(_sketched(again, words, fine[0], seed + 1).select(F.col("row_id").alias("node"), "signature"), "fine-signatures")
-        crowded = _split(_buckets(_bands(finer, fine[1], fine[0]), "fine-buckets").select("index", "band", "node", "n"), labels)
-        labels = _renamed(labels, written(_across(_wanted(crowded, finer, least, fine[1]), docs, classes, words, percent), "fine-links"))
+        search.rows = fine[1]
+        again = class_texts(docs, classes, large).select(F.col("node").alias("row_id"), F.lit(0).cast("long").alias("row_hash"), "text")
+        signatures_ = _sketched(again, words, fine[0], seed + 1).select(F.col("row_id").alias("node"), "signature")
+        finer = written(signatures_.join(classes.select("node", "row_id", "row_hash"), "node"), "fine-signatures")
+        labels = renamed(labels, written(search.links_across(search.split(finer, fine[0], labels), finer), "fine-links"))
     whole = labels.join(classes.select("node", "set_key", "row_id", "row_hash", "copies"), "node")
     heads = written(whole.groupBy("component").agg(F.min(F.struct("row_id", "row_hash")).alias("head"), F.count("*").alias("size")), "heads")
     named = lookup(whole.select("component", "set_key", "copies"), heads, "component", "size").select("set_key", "copies", F.col("head.row_id").alias("keep_id"), F.col("head.row_hash").alias("keep_hash"))
