@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -101,14 +102,14 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 100
 
         system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
-        task = TaskContext.get()
+        task, own = TaskContext.get(), uuid.uuid4().hex
         sink, number, offset, name = None, 0, 0, ""
         for pdf in batches:
             index = []
             for page, key, url, html, refers_to, revisit in zip(*[pdf[c] for c in columns]):
                 if sink is None:
                     # an attempt has names of its own, which its index rows point to: another attempt's rows and files never mix with them
-                    name, offset = f"pages-{task.stageId()}-{task.partitionId():06d}-{task.taskAttemptId()}-{number:04d}.warc.gz", 0
+                    name, offset = f"pages-{task.partitionId():06d}-{own}-{number:04d}.warc.gz", 0
                     sink = system.open_output_stream(f"{base}/{name}", compression=None)  # records are compressed one by one
                 payload, to = (html or "").encode(), int(refers_to) if revisit else None
                 record, digest = build_record(None if key & 1 else int(page), url, payload, to, date)
