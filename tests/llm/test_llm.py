@@ -481,7 +481,7 @@ def test_components(spark):
 
 
 def test_fingerprints(docs, rows, empty):
-    got = by_id(edit_embedding.follow(docs, part_bytes=2000))
+    got = by_id(edit_embedding.follow(docs, near=False, part_bytes=2000))
     order = sorted(rows)
     prints = {}
     for (i, t, *_), (_, u, *_) in zip(order, order[1:] + order[:1]):
@@ -494,35 +494,53 @@ def test_fingerprints(docs, rows, empty):
     assert edit_embedding.follow(empty).count() == 0
 
 
-def test_walk_matches_a_plain_one():
-    """The walks that go in step read the same places as one walk after the other."""
+@pytest.mark.parametrize("piece", [1 << 16, 64])
+def test_walk_matches_a_plain_one(piece, monkeypatch):
+    """The walks that go in step read the same places as one walk after the other, in pieces too."""
+    monkeypatch.setattr(edit_embedding, "PIECE", piece)
+    monkeypatch.setattr(edit_embedding, "STRIDE", 6 * piece)
     rng = random.Random(4)
-    texts = ["".join(rng.choices("abcé", k=k)) for k in (0, 1, 2, 50, 333)]
+    texts = ["".join(rng.choices("abcé", k=k)) for k in (0, 1, 2, 50, 333, 129)]
     got = edit_embedding.fingerprints(texts, samples=16, seed=3)
-    bits = edit_embedding._walk_bits(3)
+    bits, stride = edit_embedding._walk_bits(3), 6 * piece
     for t, g in zip(texts, got):
-        sym, _ = edit_embedding.symbols([t])
-        at, where = 0, []
-        for j in range(3 * len(t)):
-            where.append(at)
-            kind = int(sym[at]) >> 24
-            at += int(bits[j % edit_embedding.PERIOD, 1 if kind == 0 and sym[at] else kind])
-        for k, falls in enumerate(edit_embedding._places(16, 3, max(1, 3 * len(t)))):
-            if t:
-                place = falls[falls < 3 * len(t)][-1]
-                value = edit_embedding.mix(np.array([int(sym[where[place]])], np.uint64) + edit_embedding.mix(np.array([int(place) + (k << 40)], np.uint64)))
+        sym = edit_embedding.symbols([t])[0][:-1]
+        begin = [*edit_embedding.cuts(sym), len(sym)]
+        assert all(y - x <= 2 * piece for x, y in zip(begin, begin[1:]))
+        reads = {}
+        for p, (at, end) in enumerate(zip(begin, begin[1:])):
+            for j in range(3 * (end - at)):
+                if at == end:
+                    break
+                reads[p * stride + j] = int(sym[at])
+                at += int(bits[j % edit_embedding.PERIOD, max(1, int(sym[at]) >> 24)])
+        for k, falls in enumerate(edit_embedding._places(16, 3, len(begin) * stride)):
+            place = max((f for f in falls.tolist() if f in reads), default=None)
+            if place is not None:
+                value = edit_embedding.mix(np.array([reads[place]], np.uint64) + edit_embedding.mix(np.array([place + (k << 40)], np.uint64)))
                 assert g[k] == int(value[0]) >> 56
     assert edit_embedding.fingerprints([]).shape[0] == 0
 
 
+def test_long_texts_are_cut_where_their_symbols_say_so():
+    rng = random.Random(14)
+    text = "".join(rng.choices("abcdefgh ", k=900_000))
+    near = text[:100_000] + "inserted" + text[100_000:700_000] + text[700_050:]
+    a, b, c = edit_embedding.fingerprints([text, near, "".join(rng.choices("abcdefgh ", k=900_000))])
+    assert edit_embedding.likeness(a, b) > 0.6 > 0.1 > edit_embedding.likeness(a, c)
+    assert edit_embedding.near(text, near, 0.001) and not edit_embedding.near(text, near[::-1], 0.01) and not edit_embedding.near(text, near, 0.00001)
+
+
 def test_fingerprints_keep_small_edits_close(spark):
     rng = random.Random(9)
     text = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(120))
-    near, far = text[:300] + "ZZ" + text[310:], " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(120))
+    near, far = text[:300] + "ZZ" + text[302:], " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(120))
     a, b, c = edit_embedding.fingerprints([text, near, far])
-    assert edit_embedding.likeness(a, b) > 0.6 > 0.4 > edit_embedding.likeness(a, c)
-    df = spark.createDataFrame([(1, text), (2, near), (3, far), (4, text)], "doc_id long, text string")
-    assert {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
+    assert edit_embedding.likeness(a, b) > 0.6 > 0.1 > edit_embedding.likeness(a, c)
+    df = spark.createDataFrame([(1, text), (2, near), (3, far), (4, text), (3, near), (None, text), (8, ""), (9, None)], "doc_id long, text string")
+    want = [(None, None), (1, 1), (2, 1), (3, 1), (3, 3), (4, 1), (8, 8), (9, 9)]
+    for out in (edit_embedding.near_copies(df), edit_embedding.follow(df, part_bytes=500)):
+        assert sorted(((r["doc_id"], r["component_id"]) for r in out.collect()), key=lambda x: (x[0] or 0, x[1] or 0)) == want
 
 
 def edits(text: str, n: int, rng: random.Random) -> str:
@@ -553,18 +571,18 @@ def edit_components(rows: list[tuple], share: float) -> dict:
     return name
 
 
-def test_near_copies_find_scattered_edits(spark):
-    """Every pair up to the promised distance, whatever its fingerprints are like."""
-    rng = random.Random(5)
-    rows = [(90, "abc"), (91, "abd"), (92, "abcdefghij"), (93, "abcdefghXY"), (94, ""), (95, "a"), (96, "é" * 70), (97, "")]
-    for k, part in enumerate((0.005, 0.02, 0.05, 0.1, 0.15, 0.19, 0.25, 0.4)):
-        text = "".join(rng.choices("abcdefgh ", k=300 + 10 * k))
-        rows += [(2 * k, text), (2 * k + 1, edits(text, int(part * len(text)), rng))]
-    want = edit_components(rows, 0.2)
-    assert want[11] == 10 and want[15] == 15
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    for chars in (4_000_000, 1):
-        assert {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(df, block_chars=chars).collect()} == want
+def test_near_copies_recall_against_brute_force(spark):
+    """Of all pairs up to the promised distance, edits scattered over the text, nine in ten are linked; none beyond it is."""
+    rng, rows = random.Random(5), []
+    for k in range(120):
+        text = "".join(rng.choices("abcdefgh ", k=rng.randint(300, 900)))
+        part = (0.002, 0.005, 0.01, 0.05)[k % 4]
+        rows += [(2 * k, text), (2 * k + 1, edits(text, max(1, int(part * len(text))), rng))]
+    close = {i for i in range(0, 240, 2) if edit_distance(rows[i][1], rows[i + 1][1]) <= 0.01 * max(len(rows[i][1]), len(rows[i + 1][1]))}
+    got = {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = {i for i in range(0, 240, 2) if got[i] == got[i + 1]}
+    assert found <= close and len(found) >= 0.9 * len(close) and len(close) >= 60
+    assert all(got[i] in (i, i - i % 2) for i in got)
     for _ in range(300):
         a, b = ("".join(rng.choices("abé", k=rng.randrange(90))) for _ in range(2))
         most = rng.randrange(60)
@@ -581,7 +599,7 @@ def test_near_copies_behind_a_head_unlike_them(spark):
         if p[0, 0] == p[1, 0] == p[2, 0] and alike(p[1], p[2]) >= 0.5 > max(alike(p[0], p[1]), alike(p[0], p[2])):
             break
     df = spark.createDataFrame([(0, a), (1, b), (2, c)], "doc_id long, text string")
-    assert {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(df, bands=1, band_samples=1).collect()} == {0: 0, 1: 1, 2: 1}
+    assert {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(df, band=1, likely=0.4, share=0.2).collect()} == {0: 0, 1: 1, 2: 1}
 
 
 # --- packing
