@@ -57,11 +57,27 @@ def renamed(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(out.select("node", F.coalesce("whole", "component").alias("component")), "labels")
 
 
+GROUP = ["band", "i", "j"]
+
+
+def _groups(frame: pd.DataFrame) -> Iterator[tuple[int, int, bool]]:
+    """Where each group of a sorted frame begins and ends, and whether it is a pair of blocks."""
+    keys = frame[GROUP].to_numpy()
+    cut = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1), True]).tolist()
+    for a, b in zip(cut, cut[1:]):
+        yield a, b, bool(keys[a, 1] != keys[a, 2])
+
+
+def _first_band(same: np.ndarray, rows: int) -> np.ndarray:
+    """The first band whose numbers are all equal; one row of equalities a pair."""
+    return same[:, : same.shape[1] // rows * rows].reshape(len(same), -1, rows).all(axis=2).argmax(axis=1)
+
+
 class Search:
     """kind: of a signature's numbers; rows: how many make a band; least: the share of equal numbers below which a pair is not tested.
 
     prepare: what the test needs of each of a list of texts (UTF-8); same: the exact test of two of these; across: the links (index pairs) that join components among the texts of a
-    group, given their components and, for a pair of blocks, their sides.
+    group, given their components, for a pair of blocks their sides, and a function that tells which of the texts after the x-th have a signature like its and share this band with it first.
     """
 
     def __init__(self, docs: DataFrame, kind: type, rows: int, least: float, prepare: Callable, same: Callable, across: Callable) -> None:
@@ -138,39 +154,50 @@ class Search:
         kind, least, rows = self.kind, self.least, self.rows
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in groups_of(batches, ["band", "i", "j"], 4096):
-                for (_, i, j), part in frame.groupby(["band", "i", "j"], sort=False):
-                    sig = np.frombuffer(b"".join(part["signature"]), kind).reshape(len(part), -1)
-                    comp, side, index = part["component"].to_numpy(), part["own"].to_numpy(), int(part["index"].iloc[0])
-                    needed = np.zeros(len(part), bool)
-                    for x in range(len(part) - 1):
-                        at = x + 1 + np.flatnonzero((comp[x + 1 :] != comp[x]) & ((side[x + 1 :] != side[x]) if i != j else True))
+            for frame in groups_of(batches, GROUP, 4096):
+                signatures = np.frombuffer(b"".join(frame["signature"]), kind).reshape(len(frame), -1)
+                component, own, index = (frame[c].to_numpy() for c in ("component", "own", "index"))
+                needed = np.zeros(len(frame), bool)
+                for a, b, two in _groups(frame):
+                    sig, comp, side = signatures[a:b], component[a:b], own[a:b]
+                    for x in range(b - a - 1):
+                        apart = comp[x + 1 :] != comp[x]
+                        at = x + 1 + np.flatnonzero(apart & (side[x + 1 :] != side[x]) if two else apart)
                         if not len(at):
                             continue
                         same = sig[at] == sig[x]
                         close = same.mean(axis=1) >= least
-                        at, same = at[close], same[close]
-                        if len(at):
-                            here = same[:, : same.shape[1] // rows * rows].reshape(len(at), -1, rows).all(axis=2).argmax(axis=1) == index
-                            needed[at[here]] = True
-                            needed[x] |= here.any()
-                    yield part.loc[needed, ["band", "i", "j", "node", "component", "own"]]
+                        if close.any():
+                            here = at[close][_first_band(same[close], rows) == index[a]]
+                            needed[a + here] = True
+                            needed[a + x] |= len(here) > 0
+                yield frame.loc[needed, [*GROUP, "node", "component", "own", "index", "signature"]]
 
-        return placed.mapInPandas(run, "band long, i long, j long, node long, component long, own long")
+        return placed.mapInPandas(run, "band long, i long, j long, node long, component long, own long, index int, signature binary")
 
     def links_across(self, members: DataFrame, classes: DataFrame) -> DataFrame:
         """v, u: components that a link joins, passing the test, within the groups of wanted. classes: those with the texts' rows; members: of buckets, with their components."""
         units = written(self.wanted(members, classes), "wanted")
         placed = units.join(class_texts(self.docs, classes, units), "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
 
-        across = self.across
+        across, kind, least, rows = self.across, self.kind, self.least, self.rows
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in groups_of(batches, ["band", "i", "j"], 1024):
-                for (_, i, j), part in frame.groupby(["band", "i", "j"], sort=False):
-                    found = across([t.encode() for t in part["text"]], part["component"].to_numpy(), part["own"].to_numpy() if i != j else None)
-                    names = part["component"].to_numpy()
-                    if found:
-                        yield pd.DataFrame({"v": [names[a] for a, _ in found], "u": [names[b] for _, b in found]})
-
-        return placed.select("band", "i", "j", "node", "component", "own", "text").mapInPandas(run, "v long, u long")
+            for frame in groups_of(batches, GROUP, 1024):
+                signatures = np.frombuffer(b"".join(frame["signature"]), kind).reshape(len(frame), -1)
+                component, own, index = (frame[c].to_numpy() for c in ("component", "own", "index"))
+                texts = [t.encode() for t in frame["text"]]
+                v, u = [], []
+                for a, b, two in _groups(frame):
+
+                    def alike(x: int, sig: np.ndarray = signatures[a:b], index: int = index[a]) -> np.ndarray:
+                        same = sig[x + 1 :] == sig[x]
+                        return (same.mean(axis=1) >= least) & (_first_band(same, rows) == index)
+
+                    if b - a > 1:
+                        for x, y in across(texts[a:b], component[a:b], own[a:b] if two else None, alike):
+                            v.append(component[a + x])
+                            u.append(component[a + y])
+                yield pd.DataFrame({"v": v, "u": u}, dtype="int64")
+
+        return placed.select("band", "i", "j", "node", "component", "own", "index", "signature", "text").mapInPandas(run, "v long, u long")

@@ -17,7 +17,7 @@ pass through drop_near_copies whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -134,7 +134,7 @@ def mark_rows(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int =
         both = len(np.intersect1d(a, b, assume_unique=True))
         return 100 * both >= percent * (len(a) + len(b) - both)
 
-    def across(texts: list[bytes], component: np.ndarray, side: np.ndarray | None) -> list[tuple[int, int]]:
+    def across(texts: list[bytes], component: np.ndarray, side: np.ndarray | None, alike: Callable) -> list[tuple[int, int]]:
         return linked_across(texts, component, side, words, percent)
 
     search = Search(docs, np.uint32, rows, percent / 100 - slack, prepare, same, across)

@@ -587,6 +587,7 @@ def test_near_copies_recall_against_brute_force(spark):
         a, b = ("".join(rng.choices("abé", k=rng.randrange(90))) for _ in range(2))
         most = rng.randrange(60)
         assert edit_embedding.within(a, b, most) == (edit_distance(a, b) <= most)
+        assert edit_embedding.distance(a, b, most) == min(edit_distance(a, b), most + 1)
 
 
 def test_near_copies_behind_a_head_unlike_them(spark):
