@@ -38,7 +38,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_embedding.follow(_table(spark, sf_dir, "documents"))
+    return edit_embedding.follow(_table(spark, sf_dir, "documents"), near=False)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
