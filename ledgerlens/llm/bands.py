@@ -140,15 +140,12 @@ class Search:
 
         return placed.mapInPandas(run, "head long, other long")
 
-    def wanted(self, members: DataFrame, classes: DataFrame, block: int = 250) -> DataFrame:
+    def wanted(self, members: DataFrame, classes: DataFrame, block: int = 1000) -> DataFrame:
         """band, i, j, node, component, own: the members of buckets that have a partner in another component with a signature alike, where this bucket is the
         first that both share. members: index, band, node, component, n. A bucket of many members is cut into blocks; each pair of blocks is a group."""
         blocks = (F.floor(F.col("n") / block) + 1).cast("long")
         own = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("second", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         own = own.select("index", "band", "node", "component", F.least("own", "second").alias("i"), F.greatest("own", "second").alias("j"), "own")
-        # a pair of blocks that one component fills has nothing to compare
-        mixed = own.groupBy("band", "i", "j").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band", "i", "j")
-        own = written(own.join(mixed, ["band", "i", "j"], "left_semi"), "blocks")
         placed = own.join(classes.select("node", "signature"), "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
 
         kind, least, rows = self.kind, self.least, self.rows
