@@ -129,9 +129,12 @@ def gram_counts(rows: DataFrame, *flags: str) -> DataFrame:
         for at in np.array_split(some, 1 + len(some) // 100_000):
             yield pd.DataFrame({"bucket": np.where(at == BUCKETS, -1, at).astype(np.int32), **{f"n_{x}": v[at] for x, v in zip(names, n)}, **{f"c_{x}": v[at] for x, v in zip(names, c)}})
 
+    # a task gives up to BUCKETS rows whatever it reads, so it takes four splits
+    rows = rows.select("text", *flags)
+    rows = rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // 4))
     columns = [f"{k}_{x}" for k in "nc" for x in names]
     schema = ", ".join(["bucket int", *[f"{c} {'int' if c[0] == 'n' else 'long'}" for c in columns]])
-    return rows.select("text", *flags).mapInPandas(run, schema).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns])
+    return rows.mapInPandas(run, schema).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns])
 
 
 def fit(docs: DataFrame, sample: DataFrame, smooth: float = 0.5, least_z: float = 5.0, least_effect: float = 0.7) -> dict[str, tuple[np.ndarray, np.ndarray, float]]:
