@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ratio
-from ..functions.windows import REFERENCE, WindowProfile, before, full
+from ..functions.windows import REFERENCE, WindowProfile, before, full, lag1, within
 
 KEYS = ["From Bank", "To Bank"]
 BROADCAST_ROWS = 200_000
@@ -52,3 +52,12 @@ def apply_toxic_corridor_features(df: DataFrame, corridors: DataFrame | None = N
     df = df.withColumns({"toxic_corridor_count_28d": F.coalesce(full(n, F.sum(flag), flag, frame), F.lit(0)), "toxic_corridor_volume_28d": F.coalesce(full(n, F.sum(volume), volume, frame), F.lit(0.0))})
     paid = F.col("total_amount_paid_28d")
     return df.withColumn("pct_volume_via_toxic_corridors", F.col("toxic_corridor_volume_28d") / F.when(paid > 0, paid).otherwise(1.0))
+
+
+def apply_toxic_corridor_time_features(df: DataFrame, corridors: DataFrame, days: int = 28) -> DataFrame:
+    """The flag of the row's corridor, and the account's dealings and volume over toxic corridors in the `days` days up to its row before, 0 for its first row."""
+    held = small(corridors.select(*KEYS, F.col("is_toxic_corridor").alias("toxic")))
+    df = df.join(held, KEYS, "left").withColumn("is_toxic_corridor", F.coalesce("toxic", F.lit(0)).cast("byte")).drop("toxic")
+    flag = F.col("is_toxic_corridor").cast("long")
+    df = df.withColumns({"toxic_corridor_count_28d": F.sum(flag).over(within(days)), "toxic_corridor_volume_28d": F.sum(F.col("`Amount Paid`") * flag).over(within(days))})
+    return df.withColumns({"toxic_corridor_count_28d": F.coalesce(lag1("toxic_corridor_count_28d"), F.lit(0)), "toxic_corridor_volume_28d": F.coalesce(lag1("toxic_corridor_volume_28d"), F.lit(0.0))})

@@ -139,3 +139,25 @@ class Drift:
             names = [r[0] for r in measured.filter("drifted").orderBy(F.col("psi").desc()).select("feature").limit(10).collect()]
             warnings.warn(f"drifted features: {', '.join(names)}", UserWarning, stacklevel=2)
         return row
+
+
+class ShapDrift(Drift):
+    """Population stability of a model's Shapley values, against those of a reference table."""
+
+    def __init__(self, model, columns: list[str], **options) -> None:
+        super().__init__(columns, **options)
+        self.model = model
+
+    def _values(self, df: DataFrame) -> DataFrame:
+        values = shap_values(sampling.sample_rows(df, self.rows, self.key), self.model, self.columns, self.key)
+        return values.select(self.key, *[F.col(f"`shap_{c}`").alias(c) for c in self.columns])
+
+    def fit(self, df: DataFrame) -> ShapDrift:
+        self.reference = self._values(df).persist()
+        return self
+
+    def measure(self, df: DataFrame) -> DataFrame:
+        if self.reference is None:
+            raise RuntimeError("drift needs a reference: call fit first")
+        out = metrics.psi(self.reference, self._values(df).persist(), self.columns)
+        return out.withColumns({"band": metrics.psi_band(F.col("psi")), "drifted": F.col("psi") > self.threshold})

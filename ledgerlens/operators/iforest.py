@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .sampling import sample_rows
@@ -108,3 +108,17 @@ def score(df: DataFrame, forest: Forest, name: str = "anomaly_score") -> DataFra
             yield pd.Series(f.score(np.nan_to_num(x, posinf=0.0, neginf=0.0)))
 
     return df.withColumn(name, scored(*[F.col(f"`{c}`").cast("double") for c in forest.columns]))
+
+
+def save(spark: SparkSession, forest: Forest, path: str) -> None:
+    """The forest as Parquet: a row for each node, and one with the columns and the sample size."""
+    rows = [(i, n, *[x[n].item() for x in (t["feature"], t["threshold"], t["below"], t["above"], t["length"])]) for i, t in enumerate(forest.trees) for n in range(len(t["feature"]))]
+    spark.createDataFrame(rows, NODES).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    spark.createDataFrame([(forest.columns, forest.samples)], "columns array<string>, samples long").coalesce(1).write.mode("overwrite").parquet(f"{path}/forest")
+
+
+def load(spark: SparkSession, path: str) -> Forest:
+    facts = spark.read.parquet(f"{path}/forest").first()
+    grown = spark.read.parquet(f"{path}/nodes").toPandas()  # at most trees * 2 * max_samples nodes
+    parts = [g.sort_values("node") for _, g in grown.groupby("tree")]
+    return Forest(list(facts["columns"]), facts["samples"], [{c: g[c].to_numpy() for c in ("feature", "threshold", "below", "above", "length")} for g in parts])

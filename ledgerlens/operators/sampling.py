@@ -36,7 +36,14 @@ def class_counts(df: DataFrame, label: str) -> dict:
 
 
 def _ranked(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
-    return df.withColumn("rank_in_class", F.row_number().over(Window.partitionBy(label).orderBy(draw(key, seed), key)))
+    """rank_in_class: 1, 2, ... in the order of draw. A class is cut by the first three digits of its draws, which are counted, so 4096 slices are sorted, never a class."""
+    cut = df.withColumn("drawn", draw(key, seed)).withColumn("slice", F.substring("drawn", 1, 3))
+    counts = cut.groupBy(label, "slice").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(label).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # 4096 rows a class
+    starts = counts.select(F.col(label).alias("its_label"), F.col("slice").alias("its_slice"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy(label, "slice").orderBy("drawn", key))
+    placed = cut.withColumn("own", own).join(starts, (F.col("slice") == F.col("its_slice")) & F.col(label).eqNullSafe(F.col("its_label")))
+    return placed.select(*df.columns, (F.col("start") + F.col("own")).alias("rank_in_class"))
 
 
 def per_class(df: DataFrame, label: str, wanted: dict, key: str = "txn_id", seed: int = 42) -> DataFrame:

@@ -160,7 +160,10 @@ _oracle_rank = f"""WITH RECURSIVE {TXN_SQL}, {_EDGES}, n AS (SELECT DISTINCT src
  r(it, node, v) AS (SELECT 0, node, CAST(1.0 / c AS DOUBLE) FROM n, k UNION ALL SELECT any_value(it) + 1, dst, any_value(0.15 / c) + 0.85 * sum(p * v) FROM r JOIN sh ON node = src, k WHERE it < 60 GROUP BY dst)
  SELECT node, round(v + 1e-9, 6) AS pagerank FROM r WHERE it = 60"""
 _txn("bank_pagerank", _oracle_rank)(lambda t: graph.pagerank(graph.bank_edges(t), tolerance=1e-9))
-_txn("bank_centrality", None, ["from_bank_out_degree", "pagerank_from_bank", "to_bank_in_degree", "pagerank_to_bank"])(graph.compute_bank_centrality_features)
+_oracle_centrality = _oracle_rank.replace(" SELECT node, round(v + 1e-9, 6) AS pagerank FROM r WHERE it = 60", """, d AS (SELECT node, sum(o) AS od, sum(i) AS id FROM (SELECT src AS node, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst, 0, 1 FROM e) GROUP BY node),
+ z AS (SELECT r.node, round(v + 1e-9, 6) AS pr, od, id FROM r JOIN d ON d.node = r.node WHERE it = 60)
+ SELECT txn_id, CAST(a.od AS BIGINT) AS from_bank_out_degree, a.pr AS pagerank_from_bank, CAST(b.id AS BIGINT) AS to_bank_in_degree, b.pr AS pagerank_to_bank FROM txn JOIN z a ON a.node = fb JOIN z b ON b.node = tb""")
+_txn("bank_centrality", _oracle_centrality, ["from_bank_out_degree", "pagerank_from_bank", "to_bank_in_degree", "pagerank_to_bank"])(graph.compute_bank_centrality_features)
 
 # --- features ------------------------------------------------------------------------------------------------------------------------------------------
 
@@ -268,6 +271,8 @@ _feature("corridor_rolling", lambda t: features.compute_corridor_risk_score(t, P
 _TXF = f"""t1 AS (SELECT r.*, coalesce(c.toxic, 0) AS tox, coalesce(c.r, 0) AS risk FROM r LEFT JOIN c USING (fb, tb)),
  t2 AS (SELECT *, coalesce({_full(P.n500, 'sum(tox)', 'tox', _prior(P.n500))}, 0) AS tc, coalesce({_full(P.n500, 'sum(CASE WHEN tox = 1 THEN amt ELSE 0 END)', 'tox', _prior(P.n500))}, 0) AS tv FROM t1)"""
 _feature("toxic_apply", lambda t: corridors.apply_toxic_corridor_features(_rolled(t), _derived(t), P), {"#is_toxic_corridor": "tox", "~corridor_risk_score": "risk", "#toxic_corridor_count_28d": "tc", "~toxic_corridor_volume_28d": "tv", "~pct_volume_via_toxic_corridors": "tv / CASE WHEN paid > 0 THEN paid ELSE 1 END"}, "t2", _SPLIT, _TOXIC, _ROLL, _TXF)
+_TXT = f"""t3 AS (SELECT txn.*, coalesce(c.toxic, 0) AS tox FROM txn LEFT JOIN c USING (fb, tb)), t4 AS (SELECT *, sum(tox) OVER {_D28} AS tc, sum(amt * tox) OVER {_D28} AS tv FROM t3)"""
+_feature("toxic_apply_time", lambda t: corridors.apply_toxic_corridor_time_features(t, _derived(t)), {"#is_toxic_corridor": "tox", "#toxic_corridor_count_28d": f"coalesce(lag(tc) OVER ({_W}), 0)", "~toxic_corridor_volume_28d": f"coalesce(lag(tv) OVER ({_W}), 0)"}, "t4", _SPLIT, _TOXIC, _TXT)
 _txn("pii_sha256", sql({"#txn_id": "txn_id", "hashed": "sha256(acc || 'salt')"}, "txn"))(lambda t: t.select("txn_id", salted_sha256(F.col("Account"), "salt").alias("hashed")))
 
 # --- scores, samples, metrics --------------------------------------------------------------------------------------------------------------------------
@@ -387,6 +392,13 @@ def _shap(t: DataFrame) -> DataFrame:
     return explain.global_importance(explain.shap_values(test, model, columns), columns)
 
 
+@_txn("shap_drift", None)
+def _shap_drift(t: DataFrame) -> DataFrame:
+    train, test, columns = _parts(t)
+    model = learning.build(learning.make("random_forest", trees=5, depth=4), columns).fit(learning.with_weights(train, 5.0)).stages[-1]
+    return explain.ShapDrift(model, columns).fit(train).measure(test)
+
+
 @_txn("smote", None)
 def _smote(t: DataFrame) -> DataFrame:
     rows, columns = model_rows(t)

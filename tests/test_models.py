@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import warnings
 
@@ -170,3 +171,51 @@ def test_streams(spark, tmp_path):
         q.stop()
     assert spark.sql("select sum(txn_in_hour) from hours").first()[0] == 1000
     assert spark.sql("select count(*), count(prev_amount_paid) from rows").first()[:] == (1000, 985)
+
+
+def test_forest_is_kept_and_loaded(spark, tmp_path):
+    """A scoring run in another session gives the same scores; floats at the sink."""
+    from ledgerlens.plans import scoring
+    from ledgerlens.sources import io
+
+    rows = spark.createDataFrame([(i, i % 7, float(i % 13), float(i * 37 % 101), int(i % 29 == 0)) for i in range(400)], "txn_id long, a int, b double, c double, `Is Laundering` int")
+    io.write_splits(rows.withColumn("split", F.when(F.col("txn_id") < 300, "train").otherwise("test")), str(tmp_path))
+    assert dict(spark.read.parquet(f"{tmp_path}/train_features.parquet").dtypes)["b"] == "float"
+    out = []
+    for fit in (True, False):
+        scoring.run(spark, str(tmp_path), f"{tmp_path}/model", fit=fit, trees=20, max_samples=64)
+        out.append({r["txn_id"]: r["anomaly_score"] for r in spark.read.parquet(f"{tmp_path}/test_scored.parquet").collect()})
+    assert out[0] == out[1] and len(out[0]) == 100 and all(0 < v < 1 for v in out[0].values())
+
+
+def test_settings(spark, tmp_path):
+    from ledgerlens.plans import settings
+
+    (tmp_path / "s.json").write_text('{"cap": 10, "threshold": 0.2}')
+    assert settings.load(spark, str(tmp_path / "s.json")) == settings.Settings(cap=10, threshold=0.2)
+    for text in ('{"cap": 0}', '{"no_such": 1}'):
+        (tmp_path / "s.json").write_text(text)
+        with pytest.raises(ValueError):
+            settings.load(spark, str(tmp_path / "s.json"))
+
+
+def test_ranks_in_class(spark):
+    """Ranks of slices are those of one sort."""
+    rows = [(i, i % 3 if i % 10 else None) for i in range(9000)]
+    got = sampling._ranked(spark.createDataFrame(rows, "txn_id long, label int"), "label", "txn_id", 5).collect()
+    for label in (0, 1, 2, None):
+        mine = sorted((r for r in got if r["label"] == label), key=lambda r: r["rank_in_class"])
+        want = sorted((i for i, y in rows if y == label), key=lambda i: (hashlib.md5(f"5:{i}".encode()).hexdigest(), i))
+        assert [r["txn_id"] for r in mine] == want and [r["rank_in_class"] for r in mine] == list(range(1, len(want) + 1))
+
+
+def test_shap_drift(spark):
+    """The same table does not drift; one whose feature the model leans on is shifted does."""
+    from ledgerlens.operators import explain, learning
+
+    rows = spark.createDataFrame([(i, float(i % 97), float(i * 7 % 31), int(i % 97 > 60)) for i in range(1500)], "txn_id long, a double, b double, label int")
+    model = learning.build(learning.make("random_forest", trees=5, depth=4), ["a", "b"]).fit(learning.with_weights(rows, 5.0)).stages[-1]
+    drift = explain.ShapDrift(model, ["a", "b"]).fit(rows)
+    same = {r["feature"]: r["psi"] for r in drift.measure(rows).collect()}
+    moved = {r["feature"]: r["psi"] for r in drift.measure(rows.withColumn("a", F.col("a") / 2)).collect()}
+    assert max(same.values()) < 1e-6 and moved["a"] > 0.1
