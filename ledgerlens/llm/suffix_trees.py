@@ -142,7 +142,7 @@ def maximal_repeats(texts: list[str], least: int) -> dict[tuple[str, ...], int]:
     return out
 
 
-PLACED = "content binary, places binary, n long, first struct<is_null: int, doc: long, start: long>"
+PLACED = "content binary, places binary, n long, is_null long, doc long, start long"
 
 
 def _by_prefix(todo: DataFrame, window: int, gram: int, hot: int) -> tuple[list[DataFrame], DataFrame]:
@@ -162,13 +162,13 @@ def _by_prefix(todo: DataFrame, window: int, gram: int, hot: int) -> tuple[list[
     def later(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             places, row_of = unpacked(list(pdf["places"]))
-            head = np.array([list(h.values() if isinstance(h, dict) else h) for h in pdf["head"]], np.int64).reshape(-1, 3)[row_of]
+            head = pdf[["is_null", "doc", "start"]].to_numpy(np.int64)[row_of]
             rest = ((places[:, 1] & 1) != head[:, 0]) | (places[:, 0] != head[:, 1]) | (places[:, 2] != head[:, 2])
             yield pd.DataFrame({"doc_id": places[rest, 0], "row_hash": places[rest, 1], "start": places[rest, 2], "windows": np.ones(int(rest.sum()), np.int32)})
 
-    heads = todo.groupBy("content").agg(F.min("first").alias("head"), F.count("*").alias("m"), F.sum("n").alias("k")).filter("k > 1").drop("k")
-    joined = lookup(todo, written(heads, "window-heads"), "content", "m").filter("m is not null")
-    return small, joined.select("places", "head").mapInPandas(later, RUN)
+    heads = todo.groupBy("content").agg(F.min(F.struct("is_null", "doc", "start")).alias("head"), F.count("*").alias("m"), F.sum("n").alias("k")).filter("k > 1").drop("k")
+    joined = lookup(todo.select("content", "places"), written(heads, "window-heads"), "content", "m").filter("m is not null")
+    return small, joined.select("places", "head.*").mapInPandas(later, RUN)
 
 
 def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 4000, max_bits: int = 28, local: int = 1 << 14) -> DataFrame:
@@ -230,8 +230,8 @@ def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 4000, max_
             found: dict[bytes, list] = {}
             for x, y, d, r, p in zip(a, b, doc.tolist(), row.tolist(), (at - w.first[text]).tolist()):
                 found.setdefault(b" ".join(raw[x:y].split()), []).append((d, r, p))
-            firsts = [min((r & 1, d, p) for d, r, p in of) for of in found.values()]
-            yield pd.DataFrame({"content": list(found), "places": [np.array(of, np.int64).tobytes() for of in found.values()], "n": [len(of) for of in found.values()], "first": [dict(zip(("is_null", "doc", "start"), f)) for f in firsts]})
+            firsts = np.array([min((r & 1, d, p) for d, r, p in of) for of in found.values()], np.int64).reshape(-1, 3)
+            yield pd.DataFrame({"content": list(found), "places": [np.array(of, np.int64).tobytes() for of in found.values()], "n": np.array([len(of) for of in found.values()], np.int64), "is_null": firsts[:, 0], "doc": firsts[:, 1], "start": firsts[:, 2]})
 
     dealt, runs = rows.mapInPandas(cold, SEGMENT), None
     if held.any_hot:

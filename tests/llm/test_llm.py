@@ -298,6 +298,17 @@ def test_bytes_at_the_production_window(spark):
         assert tuple(got[r["doc_id"]])[1:] == (len(t), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest())
 
 
+def test_words_where_few_documents_have_the_hot_passage(spark, monkeypatch):
+    """Most chunks have no hot window; rows of null ids come last."""
+    run = suffix_trees.repeated_runs
+    monkeypatch.setattr(suffix_trees, "repeated_runs", lambda r, w, g: run(r, w, g, hot=2, max_bits=16))
+    rng = random.Random(31)
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(i, f"{rng.random()} {passage} {rng.random()}" if i % 10 == 0 else " ".join(str(rng.random()) for _ in range(15))) for i in range(1, 61)] + [(None, passage)]
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_trees.dedup_words(spark.createDataFrame(rows, "doc_id long, text string").repartition(12), 8, 3).collect()}
+    assert got == {i: 12 if i is None or (i % 10 == 0 and i > 10) else 0 for i, _ in rows}
+
+
 def test_substring_dedup_edges(spark, empty):
     assert bwt.dedup_bytes(empty).count() == 0 and suffix_trees.dedup_words(empty).count() == 0
     long = "é" + " ".join(f"w{i}" for i in range(400))
