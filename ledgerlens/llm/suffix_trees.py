@@ -171,7 +171,7 @@ def _by_prefix(todo: DataFrame, window: int, gram: int, hot: int) -> tuple[list[
     return small, joined.select("places", "head.*").mapInPandas(later, RUN)
 
 
-def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 4000, max_bits: int = 28, local: int = 1 << 14) -> DataFrame:
+def repeated_runs(rows: DataFrame, window: int, gram: int, hot: int = 4000, max_bits: int = 28, local: int = 1 << 13) -> DataFrame:
     """doc_id, row_hash, start, windows: runs of windows that start earlier elsewhere. rows: as row_key gives them."""
     find = WordSegments(window, gram)
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
