@@ -221,6 +221,20 @@ def test_bytes_against_brute_force(docs, rows, window, gram, hot, monkeypatch):
         assert bytes(got[i]["kept"]) == kept
 
 
+def test_hot_segments_are_cut_and_parted_in_one_worker(docs, monkeypatch):
+    """A second Python step in a task makes twice as many workers, which stay."""
+    write, steps = bwt.written, []
+
+    def seen(df, name):
+        if name == "parts":
+            steps.append(df._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas"))
+        return write(df, name)
+
+    monkeypatch.setattr(bwt, "written", seen)
+    assert bwt.repeated_runs(suffix_trees.row_key(docs), 60, 12, hot=1, max_bits=16, local=3000).count()
+    assert len(steps) > 1 and set(steps) == {1}
+
+
 def test_bwt_prefixes_against_brute_force():
     rng = random.Random(5)
     for _ in range(60):
