@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bwt, components, edit_embedding, exact_dedup, minhash, mixing, packing, quality, sharding, suffix_trees, warc
+from ledgerlens.llm import bwt, components, edit_embedding, exact_dedup, minhash, mixing, packing, quality, queries, sharding, suffix_trees, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -519,6 +519,19 @@ def test_fingerprints(docs, rows, empty):
     assert edit_embedding.follow(empty).count() == 0
 
 
+def test_fingerprint_query_bands_and_verifies(spark, tmp_path):
+    rng = random.Random(3)
+    make = lambda: "".join(rng.choices("abcdefgh ", k=3000))
+    a, b = make(), make()
+    texts = [a, b, a[:1500] + "Z" + a[1501:], b, "", None]
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA).write.parquet(path)
+    got = by_id(queries.op7_edit_embedding(spark, str(tmp_path)))
+    plain = by_id(edit_embedding.follow(spark.read.parquet(path), near=False))
+    assert {i: r["component_id"] for i, r in got.items()} == {0: 0, 1: 1, 2: 0, 3: 1, 4: 4, 5: 5}
+    assert {i: tuple(r)[:-1] for i, r in got.items()} == {i: tuple(r) for i, r in plain.items()}
+
+
 @pytest.mark.parametrize("piece", [1 << 16, 64])
 def test_walk_matches_a_plain_one(piece, monkeypatch):
     """The walks that go in step read the same places as one walk after the other, in pieces too."""
