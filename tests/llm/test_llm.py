@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -14,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import bwt, components, edit_embedding, exact_dedup, minhash, mixing, packing, quality, queries, sharding, suffix_trees, warc
+from ledgerlens.llm.common import CLEANUP
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -581,6 +583,24 @@ def test_fingerprints_keep_small_edits_close(spark):
         assert sorted(((r["doc_id"], r["component_id"]) for r in out.collect()), key=lambda x: (x[0] or 0, x[1] or 0)) == want
 
 
+def shuffle_files(spark) -> set[str]:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {b for b in blocks.mkString(" ").split() if b.startswith("shuffle_")}
+
+
+def test_edit_embedding_leaves_no_shuffle_files(spark, docs, monkeypatch):
+    """Texts and bands are shuffled several times over: what one step has shuffled is gone when a later one writes, without a garbage collection. Fingerprints are written once."""
+    before, names, write = shuffle_files(spark), [], edit_embedding.written
+    monkeypatch.setattr(edit_embedding, "written", lambda df, name: (names.append(name), write(df, name))[1])
+    rows = edit_embedding.follow(docs, part_bytes=2000)
+    assert names.count("followed") == 1 and "fingerprints" not in names
+    until = time.time() + 20  # files are removed by a message to the executors
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(CLEANUP, "false") == "false" and rows.count() == docs.count()
+
+
 def edits(text: str, n: int, rng: random.Random) -> str:
     """The text after n edits at places drawn over the whole of it."""
     out = list(text)
@@ -628,6 +648,18 @@ def test_near_copies_recall_against_brute_force(spark):
         assert edit_embedding.distance(a, b, most) == min(edit_distance(a, b), most + 1)
 
 
+def test_near_copies_meet_by_length(spark):
+    """Classes of equal signatures share a bucket if their lengths may be near, across the edges of cells too; lengths far apart, whose bands agree by chance, share none."""
+    cells = spark.range(1, 1500).select(edit_embedding.length_cells("id", 0.01).alias("c")).collect()
+    sets = [set(r["c"]) for r in cells]
+    assert all(sets[a - 1] & sets[b - 1] for b in range(1, 1500) for a in range(b - int(0.01 * b), b))
+    assert sum(map(len, sets)) < 1.2 * len(sets)
+    classes = spark.createDataFrame([(0, 1000, bytearray(6)), (1, 1010, bytearray(6)), (2, 2000, bytearray(6))], "node long, n_chars long, signature binary")
+    search = edit_embedding.Search(None, np.uint8, 3, 0.2, None, None, None, edit_embedding.length_cells("n_chars", 0.01))
+    held = {n: {(r["index"], r["band"]) for r in search.bands(classes, 6).collect() if r["node"] == n} for n in range(3)}
+    assert {i for i, _ in held[0] & held[1]} == {0, 1} and not held[2] & (held[0] | held[1])
+
+
 def test_near_copies_behind_a_head_unlike_them(spark):
     """The only bucket of two near texts has a third, unlike them, as its least id."""
     rng, alike = random.Random(6), edit_embedding.likeness
