@@ -124,7 +124,7 @@ def mark_rows(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int =
     linked = sets.filter(is_linked)
     grouped = linked.groupBy("set_key").agg(F.min(F.struct("row_id", "row_hash", "signature")).alias("m"), F.count("*").alias("copies"))
     # written down, so a node's number is the same for all that read it
-    classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "set_key", "m.*", "copies"), "classes")
+    classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "set_key", "m.*", "copies"), "classes", narrow=True)
 
     def prepare(texts: list[bytes]) -> list[np.ndarray]:
         sets, first = shingle_sets(texts, words)
@@ -141,7 +141,7 @@ def mark_rows(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int =
     labels, split = search.labels(classes, hashes)
     labels = renamed(labels, written(search.links_across(split.filter(F.col("n") <= many), classes), "more-links"))
     # members of large split buckets have further minima, with longer bands, so that texts that share but a template part
-    large = written(split.filter(F.col("n") > many).select("node").distinct(), "crowded")
+    large = written(split.filter(F.col("n") > many).select("node").distinct(), "crowded", narrow=True)
     if large.limit(1).count():
         search.rows = fine[1]
         again = class_texts(docs, classes, large).select(F.col("node").alias("row_id"), F.lit(0).cast("long").alias("row_hash"), "text")
@@ -149,9 +149,9 @@ def mark_rows(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int =
         finer = written(signatures_.join(classes.select("node", "row_id", "row_hash"), "node"), "fine-signatures")
         labels = renamed(labels, written(search.links_across(search.split(finer, fine[0], labels), finer), "fine-links"))
     whole = labels.join(classes.select("node", "set_key", "row_id", "row_hash", "copies"), "node")
-    heads = written(whole.groupBy("component").agg(F.min(F.struct("row_id", "row_hash")).alias("head"), F.count("*").alias("size")), "heads")
+    heads = written(whole.groupBy("component").agg(F.min(F.struct("row_id", "row_hash")).alias("head"), F.count("*").alias("size")), "heads", narrow=True)
     named = lookup(whole.select("component", "set_key", "copies"), heads, "component", "size").select("set_key", "copies", F.col("head.row_id").alias("keep_id"), F.col("head.row_hash").alias("keep_hash"))
-    placed = lookup(linked.drop("signature"), written(named, "class-components"), "set_key", "copies").select("row_id", "row_hash", "n_shingles", "keep_id", "keep_hash")
+    placed = lookup(linked.drop("signature"), written(named, "class-components", narrow=True), "set_key", "copies").select("row_id", "row_hash", "n_shingles", "keep_id", "keep_hash")
     none = F.lit(None).cast("long")
     alone = sets.filter(f"not ({is_linked})").select("row_id", "row_hash", "n_shingles", none.alias("keep_id"), none.alias("keep_hash"))
     return placed.unionByName(alone)

@@ -67,14 +67,14 @@ def queue(rows: DataFrame, weights: list[int] | None = None, max_epochs: int = 3
     """rows: row_id, row_hash, source, size and others. Returns them with source_key, place, source_size, target and times (how often the mix takes the row)."""
     weights = weights or [1, 2, 3]
     keyed = rows.withColumns({"source_key": _source_key(F.col("source")), "place": _place(F.col("row_id"), F.col("row_hash"), slices, seed)}).withColumn("slice", F.col("place.slice"))
-    sums = written(keyed.groupBy("source_key", "slice").agg(F.sum("size").alias("n")), "slices")
+    sums = written(keyed.groupBy("source_key", "slice").agg(F.sum("size").alias("n")), "slices", narrow=True)
     targets = source_targets(sums.groupBy("source_key").agg(F.sum("n").alias("source_size")), weights, max_epochs)
     earlier = Window.partitionBy("source_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n").join(targets, "source_key")
     # equal places share their sum
     own = Window.partitionBy("source_key", "slice").orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     placed = keyed.withColumn("cum", F.sum("size").over(own)).join(starts, ["source_key", "slice"])
-    placed = written(placed.withColumn("cum", F.col("cum") + F.col("start")).drop("start", "slice"), "queued")
+    placed = written(placed.withColumn("cum", F.col("cum") + F.col("start")).drop("start", "slice"), "queued", narrow=True)
 
     # a copy's place in the mix; times are in units of targets, so the cut is at 1, give or take a document for each source
     def key(epoch):
@@ -141,7 +141,7 @@ def mixed_rows(docs: DataFrame, seed: int = 42, slices: int = 1024, **options) -
     own, place, times = free_name(docs, "source_key"), free_name(docs, "queue_place"), free_name(docs, "times")
     bounds = least.select(F.col("source_key").alias(own), F.struct("least", "most", F.col("last.place").alias("place")).alias(times), F.col("n").alias(free_name(docs, "n_rows")))
     rows = docs.withColumns({own: _source_key(F.col("source")), place: _place(*row_keys(docs), slices, seed)})
-    found = lookup(rows, written(bounds, "queue-ends"), own, free_name(docs, "n_rows"))
+    found = lookup(rows, written(bounds, "queue-ends", narrow=True), own, free_name(docs, "n_rows"))
     often = F.when(F.col(place) <= F.col(f"{times}.place"), F.col(f"{times}.most")).otherwise(F.col(f"{times}.least"))
     has_words = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(WORD)
     counted = found.withColumn(times, F.when(has_words, often).otherwise(F.lit(0))).filter(F.col(times) > 0)

@@ -139,8 +139,8 @@ def gram_counts(rows: DataFrame, *flags: str) -> DataFrame:
 
 def fit(docs: DataFrame, sample: DataFrame, smooth: float = 0.5, least_z: float = 5.0, least_effect: float = 0.7) -> dict[str, tuple[np.ndarray, np.ndarray, float]]:
     """For each target the buckets with a ratio of their own, these log ratios, and that of the rest. The driver gets these alone, BUCKETS at most."""
-    raw = written(gram_counts(docs.select(as_text(docs, "text").alias("text"))), "raw-grams")
-    near = written(gram_counts(sample, *TARGETS).drop("n_all", "c_all"), "target-grams")
+    raw = written(gram_counts(docs.select(as_text(docs, "text").alias("text"))), "raw-grams", narrow=True)
+    near = written(gram_counts(sample, *TARGETS).drop("n_all", "c_all"), "target-grams", narrow=True)
     both = raw.join(near, "bucket", "left").fillna(0)
     sizes = both.filter("bucket < 0").first()
     out = {}

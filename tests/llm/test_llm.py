@@ -9,13 +9,14 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bwt, components, edit_embedding, exact_dedup, minhash, mixing, packing, quality, queries, sharding, suffix_trees, warc
-from ledgerlens.llm.common import CLEANUP
+from ledgerlens.llm import bwt, common, components, edit_embedding, exact_dedup, minhash, mixing, packing, quality, queries, sharding, suffix_trees, warc
+from ledgerlens.llm.common import BATCH, CLEANUP
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -462,6 +463,36 @@ def test_minhash_chain_of_edits(spark):
     assert {i: r["component_id"] for i, r in got.items()} == want
 
 
+def test_minhash_writes_few_files(spark, docs, rows, monkeypatch):
+    """Shuffle partitions do not become a file each, as files cost executors child processes; the result is the same."""
+    few = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, paths, make = {k: spark.conf.get(k) for k in few}, [], common.new_path
+    monkeypatch.setattr(common, "new_path", lambda *a: (paths.append(make(*a)), paths[-1])[1])
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        got = by_id(minhash.near_copies(docs, words=4))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = components_of({i: shingles(t, 4) for i, t, *_ in rows}, 80)
+    assert {i: r["component_id"] for i, r in got.items()} == want
+    files = {p: len(list(Path(p.removeprefix("file:")).glob("part-*"))) for p in paths}
+    narrow = {p: n for p, n in files.items() if re.search(r"/(classes|buckets|labels|edges|star|large-star|small-star|heads|id-filter)-", p)}
+    assert len(narrow) >= 9 and max(narrow.values()) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_python_gets_small_batches(spark):
+    def sizes(batches):
+        for pdf in batches:
+            yield pdf.assign(n=len(pdf))[["n"]]
+
+    wide = spark.range(8000, numPartitions=1).selectExpr("repeat('x', 4000) as text")
+    got = common.written(wide.mapInPandas(sizes, "n long"), "batch-sizes")
+    assert got.count() == 8000 and got.agg(F.max("n")).first()[0] < 2000
+    assert spark.conf.get(BATCH, None) is None
+
+
 def test_minhash_rows_of_one_id(spark):
     """A row goes by id and text: what shares its id with a copy, but not its text, stays."""
     long, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
