@@ -679,6 +679,21 @@ def test_near_copies_recall_against_brute_force(spark):
         assert edit_embedding.distance(a, b, most) == min(edit_distance(a, b), most + 1)
 
 
+def test_long_texts_are_verified_by_their_whole_distance(spark):
+    """Edits of more than 2000 characters in one passage, and edits in every piece of a text, count as they do in short texts."""
+    rng = random.Random(21)
+    a = "".join(rng.choices("abcdefgh ", k=250_000))
+    b, c = a[:100_000] + "".join(rng.choices("xyz", k=2300)) + a[102_300:], edits(a, 2400, rng)
+    assert edit_embedding.near(a, b, 0.01) and not edit_embedding.near(a, b, 0.009) and edit_embedding.distance(a, b, 2500) == 2300
+    assert edit_embedding.near(a, c, 0.01) and not edit_embedding.near(a, edits(a, 3500, rng), 0.01)
+    df = spark.createDataFrame([(0, a), (1, b), (2, a[::-1])], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(df).collect()} == {0: 0, 1: 0, 2: 2}
+    for _ in range(300):
+        a, b = ("".join(rng.choices("abé", k=rng.randrange(90))) for _ in range(2))
+        most, wide = rng.randrange(60), rng.choice((0, 5, 20))
+        assert edit_embedding.distance(a, b, most, wide) == min(edit_distance(a, b), most + 1)
+
+
 def test_near_copies_meet_by_length(spark):
     """Classes of equal signatures share a bucket if their lengths may be near, across the edges of cells too; lengths far apart, whose bands agree by chance, share none."""
     cells = spark.range(1, 1500).select(edit_embedding.length_cells("id", 0.01).alias("c")).collect()
