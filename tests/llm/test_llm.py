@@ -694,6 +694,29 @@ def test_long_texts_are_verified_by_their_whole_distance(spark):
         assert edit_embedding.distance(a, b, most, wide) == min(edit_distance(a, b), most + 1)
 
 
+def test_near_copies_recall_on_long_texts(spark):
+    """Walks over long texts are put out of step for good by edits all over them; nine in ten pairs are linked all the same."""
+    rng, rows = random.Random(17), []
+    for k, n in enumerate([8_000] * 20 + [20_000] * 20 + [100_000] * 10):
+        text = "".join(rng.choices("abcdefgh ", k=n))
+        rows += [(2 * k, text), (2 * k + 1, edits(text, n * 9 // 1000, rng))]
+    got = {r["doc_id"]: r["component_id"] for r in edit_embedding.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    assert all(got[i] in (i, i - i % 2) for i in got)
+    for pairs in (range(20), range(20, 40), range(40, 50)):
+        assert sum(got[2 * k + 1] == 2 * k for k in pairs) >= 0.9 * len(pairs)
+
+
+def test_sketches_do_not_depend_on_the_batch():
+    rng = random.Random(18)
+    texts = ["", "a", "x" * 3000, "ab" * 700] + ["".join(rng.choices("abcdefgh é", k=rng.randrange(3000))) for _ in range(40)]
+    prints = edit_embedding.fingerprints(texts)
+    got = edit_embedding.sketches(texts, prints)
+    assert (got == np.vstack([edit_embedding.sketches([t], p[None]) for t, p in zip(texts, prints)])).all() and (got == edit_embedding.sketches(texts, prints, block=3)).all()
+    short = [i for i, t in enumerate(texts) if len(t) <= edit_embedding.FINE]
+    assert (got[short] == prints[short]).all() and (got[:, :63] == prints[:, :63]).all() and (got != prints).any()
+    assert edit_embedding.sketches([], prints[:0]).shape == (0, 128)
+
+
 def test_near_copies_meet_by_length(spark):
     """Classes of equal signatures share a bucket if their lengths may be near, across the edges of cells too; lengths far apart, whose bands agree by chance, share none."""
     cells = spark.range(1, 1500).select(edit_embedding.length_cells("id", 0.01).alias("c")).collect()
