@@ -593,6 +593,35 @@ def test_walk_matches_a_plain_one(piece, monkeypatch):
     assert edit_embedding.fingerprints([]).shape[0] == 0
 
 
+def test_walks_go_one_round_a_symbol(monkeypatch):
+    """One vector operation of a kind for each symbol of the longest piece, not for each of its three steps; where the walks come to every symbol is as in a plain one."""
+    rng, rounds = random.Random(5), []
+
+    class Table(np.ndarray):
+        def take(self, *args, **options):
+            rounds.append(1)
+            return super().take(*args, **options)
+
+    table = edit_embedding._waits(3).view(Table)
+    monkeypatch.setattr(edit_embedding, "_waits", lambda seed: table)
+    bits = edit_embedding._walk_bits(3)
+    kind = np.array(rng.choices(range(1, 256), k=9000), np.uint8)
+    begin = np.array([0, 5000, 5000, 5001, 5100])
+    end = np.r_[begin[1:], 9000]
+    walks = edit_embedding.Walks(kind, begin, end, 3)
+    assert len(rounds) == 5000
+    for piece, (a, b) in enumerate(zip(begin.tolist(), end.tolist())):
+        at, reads = a, []
+        while at < b and len(reads) < 3 * (b - a):
+            reads.append(at)
+            at += int(bits[len(reads) % edit_embedding.PERIOD - 1, kind[at]])
+        assert walks.stop[piece] == len(reads)
+        assert walks.read(np.full(len(reads), piece), np.arange(len(reads))).tolist() == reads
+    for block, rows in ((1, 7), (2, 64)):
+        again = edit_embedding.Walks(kind, begin, end, 3, block, rows)
+        assert (again.stop == walks.stop).all() and (again.came[:9000] == walks.came[:9000]).all()
+
+
 def test_long_texts_are_cut_where_their_symbols_say_so():
     rng = random.Random(14)
     text = "".join(rng.choices("abcdefgh ", k=900_000))
